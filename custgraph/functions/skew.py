@@ -46,10 +46,14 @@ def copy_rows(small: DataFrame, key: str, hot: DataFrame) -> DataFrame:
 
 def salted_join(
     big: DataFrame, small: DataFrame, key: str, spread_by: Sequence[str], how: str = "inner",
-    per_slice: int = SLICE_ROWS,
+    per_slice: int = SLICE_ROWS, measure: DataFrame | None = None,
 ) -> DataFrame:
-    """``big`` joined to ``small`` on ``key``, the rows of hot keys spread over many tasks."""
-    hot = hot_keys(big, key, per_slice)
+    """``big`` joined to ``small`` on ``key``, the rows of hot keys spread over many tasks.
+
+    Keys are counted on ``measure``: a stored or already shuffled frame that ``big`` comes
+    from, so that nothing costly runs twice. It defaults to ``big`` itself.
+    """
+    hot = hot_keys(big if measure is None else measure, key, per_slice)
     left, right = slice_rows(big, key, hot, spread_by), copy_rows(small, key, hot)
     return left.join(right, [key, "salt"], how).drop("salt")
 

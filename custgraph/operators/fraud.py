@@ -79,7 +79,7 @@ def community_transfers(
     senders = known.select(F.col("account_id").alias("from_account"), "community_id")
     receivers = known.select(F.col("account_id").alias("to_account"), F.col("community_id").alias("_to"))
     sent = salted_join(pairs, senders, "from_account", ["to_account"])
-    both = salted_join(sent, receivers, "to_account", ["from_account"])
+    both = salted_join(sent, receivers, "to_account", ["from_account"], measure=pairs)
     return both.filter(F.col("community_id") == F.col("_to")).drop("_to")
 
 

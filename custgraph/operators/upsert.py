@@ -72,7 +72,7 @@ def upsert_edges(existing: DataFrame, incoming: DataFrame, nodes: DataFrame) ->
     distinct = incoming.select(*keys).distinct()
     ids = nodes.select("id").distinct()
     with_source = salted_join(distinct, ids.withColumnRenamed("id", "src"), "src", ["dst", "rel_type"])
-    valid = salted_join(with_source, ids.withColumnRenamed("id", "dst"), "dst", ["src", "rel_type"])
+    valid = salted_join(with_source, ids.withColumnRenamed("id", "dst"), "dst", ["src", "rel_type"], measure=distinct)
     tagged = existing.select(*keys, F.lit(0).alias("_new")).unionByName(valid.select(*keys, F.lit(1).alias("_new")))
     return (
         tagged.groupBy(*keys).agg(F.min("_new").alias("_new"))
@@ -123,7 +123,8 @@ def writeback_plan(proposals: DataFrame, nodes: DataFrame, edges: DataFrame) ->
         wanted, ids.select(F.col("id").alias("src"), F.lit(True).alias("_src")), "src", ["dst"], "left"
     )
     checked = salted_join(
-        checked, ids.select(F.col("id").alias("dst"), F.lit(True).alias("_dst")), "dst", ["src"], "left"
+        checked, ids.select(F.col("id").alias("dst"), F.lit(True).alias("_dst")), "dst", ["src"], "left",
+        measure=wanted,
     )
     known = edges.select("src", "dst", "rel_type").distinct().withColumn("_edge", F.lit(True))
     checked = checked.join(known, ["src", "dst", "rel_type"], "left")

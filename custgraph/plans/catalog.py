@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+from ..graph import fastrp as fastrp_module
+from ..graph import knn as knn_module
+from ..graph import louvain as louvain_module
+from ..graph import pagerank as pagerank_module
+from ..graph import projection, similarity
 from ..functions.text import preview, safe_float, slugify
 from ..functions.vectors import explode_vector
+from ..ml import features, metrics, registry, split, train
 from ..model import DEDUP_KEY, EDGES, NodeSpec
 from ..operators import context, documents, fraud, proposals, retrieval, style, upsert
 from ..sources import graph as graph_scan
 from ..sources import log as log_table
+from ..session import keep
 from ..sources import nodes as node_tables
 from .portfolio import Portfolio
 
@@ -619,3 +626,309 @@ def embedding_from_json(p: Portfolio) -> DataFrame:
 
 
 
+
+
+# ----------------------------------------------------------------- graph
+
+
+@query
+def graph_projection_counts(p: Portfolio) -> DataFrame:
+    graph = projection.project(p.graph_nodes(), p.graph_edges(), ["Customer", "Account", "Stock"], ["HAS_ACCOUNT", "HAS_POSITION"])
+    return projection.projection_counts(graph)
+
+
+@query
+def projection_with_enrichment(p: Portfolio) -> DataFrame:
+    """Base types plus every type of the log, over customers, accounts, stocks and items."""
+    proposed = p.proposals().select(
+        F.col("source_key_value").alias("src"), F.lit("Customer").alias("src_label"),
+        F.col("target_key_value").alias("dst"), F.lit("Item").alias("dst_label"),
+        F.col("relationship_type").alias("rel_type"),
+    ).distinct()
+    items = proposed.select(F.col("dst").alias("id"), F.lit("Item").alias("label")).distinct()
+    log_types = proposals.enrichment_types(p.log().filter(F.col("confidence") == "high")).toDF("rel_type")
+    base = p.graph_edges().select("rel_type").distinct()
+    graph = projection.project(
+        p.graph_nodes().unionByName(items), p.graph_edges().unionByName(proposed),
+        ["Customer", "Account", "Stock", "Item"], base.unionByName(log_types),
+    )
+    return projection.projection_counts(graph)
+
+
+def _graph(p: Portfolio) -> projection.Projection:
+    return projection.project(p.graph_nodes(), p.graph_edges())
+
+
+def _holding_graph(p: Portfolio) -> projection.Projection:
+    return projection.project(p.holding_nodes(), p.holding_edges())
+
+
+@query
+def node_degree(p: Portfolio) -> DataFrame:
+    return projection.node_degree(_graph(p))
+
+
+@query
+def pagerank(p: Portfolio) -> DataFrame:
+    return rounded(pagerank_module.pagerank(_graph(p)).scores, 6, "score")
+
+
+@query
+def fastrp(p: Portfolio) -> DataFrame:
+    vectors = fastrp_module.fastrp(_holding_graph(p), size=16)
+    return vectors.select("id", "label", F.posexplode("embedding").alias("dim", "value")).select(
+        "id", "label", "dim", F.round("value", 6).alias("value")
+    )
+
+
+@query
+def louvain(p: Portfolio) -> DataFrame:
+    return louvain_module.louvain(_graph(p)).communities
+
+
+@query
+def modularity(p: Portfolio) -> DataFrame:
+    """Modularity of the segments with every part in the community of its brand."""
+    parts = p.raw("part").select(p.tag("P", "p_partkey").alias("id"), F.col("p_brand").alias("community_id"))
+    both = p.communities().unionByName(parts)
+    return rounded(louvain_module.modularity(_holding_graph(p).directed, both), 9, "modularity")
+
+
+@query
+def graph_run_stats(p: Portfolio) -> DataFrame:
+    """Node, relationship and community counts and the modularity of one feature run."""
+    graph = _holding_graph(p)
+    found = louvain_module.louvain(graph)
+    counts = projection.projection_counts(graph).groupBy().agg(
+        F.sum(F.when(F.col("kind") == "node", F.col("rows"))).alias("node_count"),
+        F.sum(F.when(F.col("kind") == "relationship", F.col("rows"))).alias("relationship_count"),
+    )
+    return counts.withColumns(
+        {"community_count": F.lit(found.community_count), "modularity": F.round(F.lit(found.modularity), 6)}
+    )
+
+
+_CUTOFF = 0.05
+
+
+def _similar(p: Portfolio) -> DataFrame:
+    return keep(similarity.node_similarity(_holding_graph(p), cutoff=_CUTOFF))
+
+
+@query
+def node_similarity(p: Portfolio) -> DataFrame:
+    return rounded(_similar(p), 6, "similarity")
+
+
+@query
+def similarity_distribution(p: Portfolio) -> DataFrame:
+    return rounded(
+        similarity.similarity_distribution(_similar(p)), 6, "min_similarity", "mean_similarity", "max_similarity"
+    )
+
+
+@query
+def max_similarity(p: Portfolio) -> DataFrame:
+    return rounded(similarity.max_similarity(_similar(p)), 6, "similarity_score")
+
+
+@query
+def community_overlap(p: Portfolio) -> DataFrame:
+    return rounded(similarity.community_overlap(_similar(p), p.communities()), 6, "avg_similarity")
+
+
+@query
+def spotlight_neighbors(p: Portfolio) -> DataFrame:
+    """The nearest neighbors of every unlabeled customer."""
+    unlabeled = p.customer().filter(F.col("risk_profile").isNull()).select(F.col("customer_id").alias("id"))
+    found = similarity.spotlight_neighbors(_similar(p), unlabeled, p.communities())
+    return rounded(found, 6, "similarity")
+
+
+@query
+def knn(p: Portfolio) -> DataFrame:
+    return rounded(knn_module.knn(p.raw("embeddings"), identifier="vec_id"), 6, "similarity")
+
+
+# ----------------------------------------------------------------- features, splits, models
+
+SMALL_MODELS = train.Settings(trees=10, boosting_rounds=3, iterations=50, tree_depth=5, max_folds=2)
+
+
+def _vectors(p: Portfolio) -> DataFrame:
+    """The vectors as embeddings of the customers with the same number."""
+    return p.raw("embeddings").select(p.tag("C", "vec_id").alias("customer_id"), "embedding")
+
+
+def _features(p: Portfolio, size: int = 64) -> DataFrame:
+    return features.feature_table(p.customer(), _vectors(p), size)
+
+
+def _labeled_vectors(p: Portfolio) -> DataFrame:
+    """Vectors with their label as risk category."""
+    return p.raw("embeddings").select(
+        p.tag("C", "vec_id").alias("customer_id"), F.concat(F.lit("class "), F.col("label")).alias("risk_category")
+    )
+
+
+def _nearest_label(p: Portfolio) -> DataFrame:
+    """(customer_id, predicted_risk_category): the label of the nearest other vector."""
+    labels = _labeled_vectors(p)
+    vectors = p.raw("embeddings").select(p.tag("C", "vec_id").alias("id"), "embedding")
+    nearest = knn_module.knn(vectors, k=1)
+    named = labels.select(F.col("customer_id").alias("target"), F.col("risk_category").alias("predicted_risk_category"))
+    return nearest.join(named, "target").select(F.col("source").alias("customer_id"), "predicted_risk_category")
+
+
+@query
+def feature_table(p: Portfolio) -> DataFrame:
+    nations = p.raw("customer").select(
+        p.tag("C", "c_custkey").alias("customer_id"), F.col("c_nationkey").alias("community_id")
+    )
+    wide = features.feature_table(p.customer(), _vectors(p), 64, nations)
+    return rounded(wide, 6, *[c for c in wide.columns if c.startswith("fastrp_")])
+
+
+@query
+def create_holdout(p: Portfolio) -> DataFrame:
+    base = p.customer().select("customer_id", F.col("risk_profile").alias("risk_category"))
+    hidden, truth = split.create_holdout(base, kept_per_class=20)
+    return hidden.join(truth, "customer_id")
+
+
+@query
+def reapply_holdout(p: Portfolio) -> DataFrame:
+    base = p.customer().select("customer_id", F.col("risk_profile").alias("risk_category"))
+    _, truth = split.create_holdout(base, kept_per_class=20, seed=7)
+    return split.reapply_holdout(base, truth)
+
+
+@query
+def stratified_split(p: Portfolio) -> DataFrame:
+    base = p.customer().select("customer_id", F.col("risk_profile").alias("risk_category"))
+    return split.train_test_split(base, "risk_category", 0.3)
+
+
+@query
+def stratified_folds(p: Portfolio) -> DataFrame:
+    base = p.customer().select("customer_id", F.col("risk_profile").alias("risk_category"))
+    return split.assign_folds(split.labeled(base, "risk_category"), "risk_category", 5)
+
+
+def _confusion(p: Portfolio) -> DataFrame:
+    both = _labeled_vectors(p).join(_nearest_label(p), "customer_id")
+    return metrics.confusion_counts(both, "risk_category", "predicted_risk_category")
+
+
+@query
+def confusion_matrix(p: Portfolio) -> DataFrame:
+    return _confusion(p)
+
+
+@query
+def class_metrics(p: Portfolio) -> DataFrame:
+    return rounded(metrics.class_metrics(_confusion(p)), 6, "precision", "recall", "f1")
+
+
+@query
+def macro_scores(p: Portfolio) -> DataFrame:
+    return rounded(metrics.macro_scores(_confusion(p)), 6, "macro_f1", "accuracy")
+
+
+@query
+def evaluate_predictions(p: Portfolio) -> DataFrame:
+    _, truth = split.create_holdout(_labeled_vectors(p))
+    return rounded(metrics.evaluate_predictions(_nearest_label(p), truth), 6, "accuracy")
+
+
+@query
+def promotion_decision(p: Portfolio) -> DataFrame:
+    """Brands as models: the mean size of promoted parts against that of the economy parts."""
+    score = F.round(F.avg("p_size") / 50, 6).alias("val_f1_score")
+    by_brand = lambda kind: p.raw("part").filter(F.col("p_type") == kind).groupBy(F.col("p_brand").alias("model_name"))
+    candidates = by_brand("PROMO").agg(F.count(F.lit(1)).cast("int").alias("version"), score)
+    return registry.promotion_decision(candidates, by_brand("ECONOMY").agg(score))
+
+
+@query
+def compare_experiments(p: Portfolio) -> DataFrame:
+    """Brands as experiments, part types as classifiers, and nations without any run."""
+    runs = p.raw("part").groupBy(F.col("p_brand").alias("experiment"), F.col("p_type").alias("classifier")).agg(
+        F.round(F.avg("p_size") / 50, 6).alias("value")
+    ).withColumns({"run": F.col("classifier"), "metric": F.lit("val_f1_score")})
+    brands = p.raw("part").select(F.col("p_brand").alias("experiment")).distinct()
+    nations = p.raw("nation").select(F.col("n_name").alias("experiment"))
+    expected = brands.unionByName(nations).withColumn("label", F.concat(F.lit("run of "), "experiment"))
+    return registry.compare_experiments(expected, runs)
+
+
+@query
+def pca_features(p: Portfolio) -> DataFrame:
+    """Principal components of the scaled vectors of all customers: variance and share of each."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    table = _features(p)
+    columns = features.feature_columns(table)
+    model = Pipeline(stages=train.preprocessing(table, columns, 5)).fit(train.prepared(table, columns))
+    parts = model.transform(train.prepared(table, columns)).select(F.posexplode(vector_to_array("pc")).alias("component", "value"))
+    shares = F.create_map(*[F.lit(x) for i, v in enumerate(train.explained_variance(model)) for x in (i, v)])
+    return parts.groupBy("component").agg(F.round(F.var_samp("value"), 4).alias("variance"), F.count(F.lit(1)).alias("rows")).withColumn(
+        "explained", F.round(F.element_at(shares, F.col("component")), 6)
+    )
+
+
+@query
+def train_trials(p: Portfolio) -> DataFrame:
+    """Three classifiers on all labeled customers with five principal components."""
+    table = keep(_features(p))
+    return train.runs_table(table, "fastrp", train.train_trials(table, pca_components=5, settings=SMALL_MODELS))
+
+
+@query
+def model_trials(p: Portfolio) -> DataFrame:
+    """The trials with a test part set aside, per-class scores and the refit of the best."""
+    table = keep(_features(p, 16))
+    found = train.train_trials(table, pca_components=3, test_size=0.3, settings=SMALL_MODELS)
+    return train.runs_table(table, "fastrp-test", found)
+
+
+@query
+def tabular_baseline(p: Portfolio) -> DataFrame:
+    """The trials without the graph columns."""
+    table = keep(_features(p, 16))
+    found = train.train_trials(table, exclude=features.graph_columns(table), settings=SMALL_MODELS)
+    return train.runs_table(table, "tabular", found)
+
+
+def _forest(p: Portfolio) -> tuple[DataFrame, list[str], object]:
+    """A forest on all labeled customers."""
+    table = keep(_features(p, 16))
+    columns = features.feature_columns(table)
+    known = split.labeled(train.prepared(table, columns), "risk_category")
+    return table, columns, train.fit_one(known, columns, "RandomForest", None, SMALL_MODELS)
+
+
+@query
+def feature_importance(p: Portfolio) -> DataFrame:
+    table, columns, model = _forest(p)
+    return train.feature_importance(train.prepared(table, columns), model)
+
+
+@query
+def score_unlabeled(p: Portfolio) -> DataFrame:
+    table, columns, model = _forest(p)
+    return registry.score_unlabeled(table, model, columns)
+
+
+@query
+def enrichment_cycle(p: Portfolio) -> DataFrame:
+    """The batch applied twice: the second cycle finds everything in the log and writes nothing."""
+    from .enrichment_cycle import enrichment_cycle as run_cycle
+
+    nodes, edges = _graph_state(p)
+    log = log_table.log_rows(p.log(), "run-0", run_time())
+    first = run_cycle(p.batch(), nodes, edges, log, RUN_ID, run_time())
+    second = run_cycle(p.batch(), first.nodes, first.edges, first.log, "run-2", run_time())
+    rows = [(i, step, n) for i, c in enumerate((first, second), 1) for step, n in c.counts.items()]
+    return p.spark.createDataFrame(rows, "cycle int, step string, rows bigint")

@@ -1,11 +1,30 @@
-"""The fraud report: every pattern over one graph, and the sections written as JSON."""
+"""The fraud report: graph scores on the accounts, every pattern, and the sections as JSON."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..graph.louvain import louvain
+from ..graph.pagerank import pagerank
+from ..graph.projection import Projection
+from ..graph.similarity import CUTOFF, TOP_K, max_similarity, node_similarity
 from ..operators import fraud
 from ..session import keep
+from ..sources.files import write_report
+
+
+def score_accounts(
+    graph: Projection, accounts: DataFrame, node_id: str, label: str = "Account", cutoff: float = CUTOFF, top_k: int = TOP_K
+) -> DataFrame:
+    """Accounts with risk_score (PageRank), community_id (Louvain) and similarity_score (best
+    Jaccard similarity on either end); ``node_id`` is the account column that holds the node id."""
+    of_label = F.col("label") == label
+    scores = pagerank(graph).scores.filter(of_label).select(F.col("id").alias(node_id), F.col("score").alias("risk_score"))
+    communities = louvain(graph).communities.filter(of_label).select(F.col("id").alias(node_id), "community_id")
+    similar = max_similarity(node_similarity(graph, cutoff, top_k)).withColumnRenamed("id", node_id)
+    known = accounts.drop("risk_score", "community_id", "similarity_score")
+    return known.join(scores, node_id, "left").join(communities, node_id, "left").join(similar, node_id, "left")
 
 
 def fraud_sections(
@@ -31,3 +50,7 @@ def fraud_sections(
         "risk_signals": signals,
         "combined_risk": combined,
     }
+
+
+def write_fraud_report(sections: dict[str, DataFrame], folder: str) -> None:
+    write_report(sections, folder)

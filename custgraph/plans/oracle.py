@@ -429,3 +429,175 @@ SQL["explode_embedding"] = "SELECT vec_id, " + ", ".join(
 SQL["embedding_from_json"] = "SELECT vec_id, " + ", ".join(
     f"round(embedding[{i + 1}]::DOUBLE, 5) AS fastrp_{i}" for i in range(8)
 ) + " FROM embeddings"
+
+# ------------------------------------------------------------------ graph
+
+_OWNS = "SELECT 'C' || o_custkey AS src, 'O' || o_orderkey AS dst, 'HAS_ACCOUNT' AS rel_type FROM orders"
+_HOLDS = "SELECT DISTINCT 'O' || l_orderkey AS src, 'P' || l_partkey AS dst, 'HAS_POSITION' AS rel_type FROM lineitem"
+PORTFOLIO_GRAPH = f"""
+one_way AS ({_OWNS} UNION ALL {_HOLDS}),
+directed AS (SELECT src, dst, rel_type FROM one_way UNION ALL SELECT dst, src, rel_type FROM one_way),
+gnode AS (SELECT 'C' || c_custkey AS id, 'Customer' AS label FROM customer UNION ALL
+  SELECT 'O' || o_orderkey, 'Account' FROM orders UNION ALL SELECT 'P' || p_partkey, 'Stock' FROM part),
+deg AS (SELECT src AS id, count(*) AS degree FROM directed GROUP BY 1)"""
+HOLDING_GRAPH = """
+one_way AS (SELECT DISTINCT 'C' || o_custkey AS src, 'P' || l_partkey AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+directed AS (SELECT src, dst FROM one_way UNION ALL SELECT dst, src FROM one_way),
+gnode AS (SELECT 'C' || c_custkey AS id, 'Customer' AS label FROM customer UNION ALL SELECT 'P' || p_partkey, 'Stock' FROM part),
+deg AS (SELECT src AS id, count(*) AS degree FROM directed GROUP BY 1)"""
+
+_COUNT_BODY = """SELECT 'node' AS kind, label AS name, count(*) AS rows FROM gnode GROUP BY label
+  UNION ALL SELECT 'relationship', rel_type, count(*) FROM directed GROUP BY rel_type"""
+SQL["graph_projection_counts"] = _with(PORTFOLIO_GRAPH, _COUNT_BODY)
+SQL["projection_with_enrichment"] = _with(f"{PROPOSAL}, {PORTFOLIO_GRAPH}", """,
+  extra AS (SELECT DISTINCT source_key_value, target_key_value, relationship_type FROM prop),
+  used AS (SELECT * FROM extra WHERE relationship_type IN (SELECT relationship_type FROM log_v WHERE confidence = 'high'))
+  SELECT 'node' AS kind, label AS name, count(*) AS rows FROM gnode GROUP BY label
+  UNION ALL SELECT 'node', 'Item', count(DISTINCT target_key_value) FROM extra HAVING count(*) > 0
+  UNION ALL SELECT 'relationship', rel_type, count(*) FROM directed GROUP BY rel_type
+  UNION ALL SELECT 'relationship', relationship_type, 2 * count(*) FROM used GROUP BY relationship_type""")
+SQL["node_degree"] = _with(PORTFOLIO_GRAPH, "SELECT n.id, label, coalesce(degree, 0) AS degree FROM gnode n LEFT JOIN deg d ON d.id = n.id")
+
+
+def _pagerank_sql(rounds: int = 20, damping: float = 0.85) -> str:
+    views = [PORTFOLIO_GRAPH.strip(), f"r0 AS (SELECT id, {1 - damping}::DOUBLE AS score FROM gnode)"]
+    for i in range(rounds):
+        views.append(
+            f"r{i + 1} AS MATERIALIZED (SELECT n.id, {1 - damping} + {damping} * coalesce(s, 0) AS score FROM gnode n LEFT JOIN "
+            f"(SELECT dst, sum(score / degree) AS s FROM directed JOIN r{i} ON r{i}.id = src JOIN deg ON deg.id = src GROUP BY 1) "
+            f"ON dst = n.id)"
+        )
+    return "WITH " + ",\n".join(views) + f"\nSELECT g.id, label, round(score, 6) AS score FROM r{rounds} JOIN gnode g USING (id)"
+
+
+SQL["pagerank"] = _pagerank_sql()
+
+
+def _fastrp_sql(size: int = 16, weights: tuple = (0.0, 1.0, 1.0, 0.8, 0.5), seed: int = 42) -> str:
+    draw = f"('0x' || substr(md5('{seed}:' || id || ':' || k), 1, 8))::BIGINT % 6"
+    views = [
+        HOLDING_GRAPH.strip(),
+        f"x0 AS (SELECT id, k, CASE {draw} WHEN 0 THEN sqrt(3) WHEN 1 THEN -sqrt(3) ELSE 0 END AS v "
+        f"FROM gnode, range({size}) t(k))",
+    ]
+    for i in range(len(weights)):
+        views.append(f"x{i + 1} AS MATERIALIZED (SELECT dst AS id, k, avg(v) AS v FROM directed JOIN x{i} ON id = src GROUP BY 1, 2)")
+        views.append(f"n{i + 1} AS (SELECT id, sqrt(sum(v * v)) AS n FROM x{i + 1} GROUP BY 1)")
+    parts = " UNION ALL ".join(
+        f"SELECT x.id, k, CASE WHEN n > 0 THEN {w} * v / n ELSE 0 END AS e FROM x{i} x JOIN n{i} n ON n.id = x.id"
+        for i, w in enumerate(weights, 1)
+    )
+    views.append(f"e AS (SELECT id, k, sum(e) AS value FROM ({parts}) GROUP BY 1, 2)")
+    return "WITH " + ",\n".join(views) + (
+        f"\nSELECT g.id, label, CAST(t.k AS INTEGER) AS dim, round(coalesce(value, 0), 6) AS value "
+        f"FROM gnode g CROSS JOIN range({size}) t(k) LEFT JOIN e ON e.id = g.id AND e.k = t.k"
+    )
+
+
+SQL["fastrp"] = _fastrp_sql()
+
+SQL["modularity"] = _with(HOLDING_GRAPH, """, c AS (SELECT 'C' || c_custkey AS id, c_mktsegment AS community_id FROM customer
+    UNION ALL SELECT 'P' || p_partkey, p_brand FROM part),
+  e AS (SELECT a.community_id AS ca, b.community_id AS cb FROM directed JOIN c a ON a.id = src JOIN c b ON b.id = dst),
+  s AS (SELECT ca, count(*) AS tot, count(*) FILTER (WHERE ca = cb) AS ins FROM e GROUP BY 1), m AS (SELECT count(*)::DOUBLE AS m2 FROM e)
+  SELECT count(*) AS communities, round(sum(ins / m2 - (tot / m2) * (tot / m2)), 9) AS modularity FROM s, m""")
+
+SIMILAR = f"""{HOLDING_GRAPH},
+common AS (SELECT x.src AS source, y.src AS target, count(*) AS shared FROM directed x JOIN directed y ON x.dst = y.dst
+  WHERE x.src <> y.src GROUP BY 1, 2),
+jac AS (SELECT source, target, shared::DOUBLE / (a.degree + b.degree - shared) AS similarity FROM common
+  JOIN deg a ON a.id = source JOIN deg b ON b.id = target),
+sim AS (SELECT source, target, similarity FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY similarity DESC, target) AS rn
+  FROM jac WHERE similarity >= 0.05) WHERE rn <= 10),
+cm AS (SELECT 'C' || c_custkey AS id, c_mktsegment AS community_id, c_acctbal FROM customer)"""
+SQL["node_similarity"] = _with(SIMILAR, "SELECT source, target, round(similarity, 6) AS similarity FROM sim")
+SQL["similarity_distribution"] = _with(SIMILAR, """SELECT count(*) AS pairs, count(DISTINCT source) AS nodes_compared,
+  round(min(similarity), 6) AS min_similarity, round(avg(similarity), 6) AS mean_similarity, round(max(similarity), 6) AS max_similarity FROM sim""")
+SQL["max_similarity"] = _with(SIMILAR, """SELECT id, round(max(similarity), 6) AS similarity_score FROM
+  (SELECT source AS id, similarity FROM sim UNION ALL SELECT target, similarity FROM sim) GROUP BY 1""")
+SQL["community_overlap"] = _with(SIMILAR, """SELECT CASE WHEN a.community_id = b.community_id THEN 'same' ELSE 'different' END AS community_match,
+  count(*) AS pairs, round(avg(similarity), 6) AS avg_similarity
+  FROM sim LEFT JOIN cm a ON a.id = source LEFT JOIN cm b ON b.id = target GROUP BY 1""")
+SQL["spotlight_neighbors"] = _with(SIMILAR, """SELECT source, CAST(rank AS INTEGER) AS rank, target, round(similarity, 6) AS similarity,
+  a.community_id, b.community_id AS neighbor_community FROM (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY similarity DESC, target) AS rank FROM sim) s
+  JOIN cm a ON a.id = source AND a.c_acctbal < 0 LEFT JOIN cm b ON b.id = target WHERE rank <= 5""")
+SQL["knn"] = """WITH el AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+  n AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM el GROUP BY 1),
+  u AS (SELECT vec_id, list(x / n ORDER BY i) AS u FROM el JOIN n USING (vec_id) GROUP BY 1),
+  s AS (SELECT a.vec_id AS source, b.vec_id AS target, round(list_dot_product(a.u, b.u), 9) AS similarity
+    FROM u a JOIN u b ON a.vec_id <> b.vec_id)
+  SELECT source, target, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY similarity DESC, target) AS rank FROM s) WHERE rank <= 5"""
+
+# ------------------------------------------------------------------ features, splits, models
+
+SQL["feature_table"] = _with(CUSTOMER, """SELECT c.customer_id, annual_income::DOUBLE AS annual_income, credit_score::DOUBLE AS credit_score,
+  risk_profile AS risk_category, state AS community_id, """ + ", ".join(
+    f"round(embedding[{i + 1}]::DOUBLE, 6) AS fastrp_{i}" for i in range(64)
+) + " FROM customer_v c LEFT JOIN embeddings ON c.customer_id = 'C' || vec_id")
+
+
+def _holdout(table: str, label: str, kept: int, seed: int) -> str:
+    return (
+        f"hold AS (SELECT customer_id, {label} AS t, {label} IS NOT NULL AND (CASE WHEN {label} IS NOT NULL THEN row_number() OVER "
+        f"(PARTITION BY {label} ORDER BY md5('{seed}:' || customer_id), customer_id) END) > {kept} AS is_held_out FROM {table})"
+    )
+
+
+SQL["create_holdout"] = _with(f"{CUSTOMER}, {_holdout('customer_v', 'risk_profile', 20, 42)}", """SELECT customer_id,
+  CASE WHEN NOT is_held_out THEN t END AS risk_category, t AS true_risk_category, is_held_out FROM hold""")
+SQL["reapply_holdout"] = _with(f"{CUSTOMER}, {_holdout('customer_v', 'risk_profile', 20, 7)}", """SELECT customer_id,
+  CASE WHEN NOT is_held_out THEN t END AS risk_category FROM hold""")
+_RANKED = f"""{CUSTOMER}, rk AS (SELECT customer_id, risk_profile AS risk_category,
+  row_number() OVER (PARTITION BY risk_profile ORDER BY md5('42:' || customer_id), customer_id) AS r,
+  count(*) OVER (PARTITION BY risk_profile) AS n FROM customer_v WHERE risk_profile IS NOT NULL)"""
+SQL["stratified_split"] = _with(_RANKED, "SELECT customer_id, risk_category, r <= round(n * 0.3) AS is_test FROM rk")
+SQL["stratified_folds"] = _with(_RANKED, "SELECT customer_id, risk_category, CAST((r - 1) % 5 AS INTEGER) AS fold FROM rk")
+
+NEAREST = """el AS (SELECT 'C' || vec_id AS id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+  n AS (SELECT id, sqrt(sum(x * x)) AS n FROM el GROUP BY 1),
+  u AS (SELECT id, any_value('class ' || label) AS label, list(x / n ORDER BY i) AS u FROM el JOIN n USING (id) GROUP BY 1),
+  s AS (SELECT a.id, a.label, b.label AS prediction, row_number() OVER (PARTITION BY a.id
+    ORDER BY round(list_dot_product(a.u, b.u), 9) DESC, b.id) AS rk FROM u a JOIN u b ON a.id <> b.id),
+  pr AS (SELECT id AS customer_id, label, prediction FROM s WHERE rk = 1),
+  cf AS (SELECT label, prediction, count(*) AS n FROM pr GROUP BY 1, 2)"""
+_CLASS = """, c AS (SELECT label FROM cf UNION SELECT prediction FROM cf),
+  m AS (SELECT c.label, coalesce((SELECT sum(n) FROM cf WHERE cf.prediction = c.label), 0)::DOUBLE AS p,
+    coalesce((SELECT sum(n) FROM cf WHERE cf.label = c.label), 0)::DOUBLE AS t,
+    coalesce((SELECT sum(n) FROM cf WHERE cf.label = c.label AND cf.prediction = c.label), 0)::DOUBLE AS h FROM c)"""
+SQL["confusion_matrix"] = _with(NEAREST, "SELECT label, prediction, n FROM cf")
+SQL["class_metrics"] = _with(NEAREST, _CLASS + """ SELECT label, round(CASE WHEN p > 0 THEN h / p ELSE 0 END, 6) AS precision,
+  round(CASE WHEN t > 0 THEN h / t ELSE 0 END, 6) AS recall, round(2 * h / (p + t), 6) AS f1, CAST(t AS BIGINT) AS support,
+  CAST(h AS BIGINT) AS hits FROM m""")
+SQL["macro_scores"] = _with(NEAREST, _CLASS + """ SELECT round(avg(2 * h / (p + t)), 6) AS macro_f1, round(sum(h) / sum(t), 6) AS accuracy,
+  CAST(sum(t) AS BIGINT) AS rows FROM m""")
+SQL["evaluate_predictions"] = _with(
+    f"{NEAREST}, lv AS (SELECT 'C' || vec_id AS customer_id, 'class ' || label AS risk_category FROM embeddings), {_holdout('lv', 'risk_category', 10, 42)}",
+    """SELECT count(*) AS total, count(*) FILTER (WHERE prediction = t) AS correct,
+  round(count(*) FILTER (WHERE prediction = t) / count(*), 6) AS accuracy FROM pr JOIN hold USING (customer_id) WHERE is_held_out""")
+SQL["promotion_decision"] = """WITH a AS (SELECT p_brand AS model_name, CAST(count(*) AS INTEGER) AS version, round(avg(p_size) / 50, 6) AS val_f1_score
+    FROM part WHERE p_type = 'PROMO' GROUP BY 1),
+  b AS (SELECT p_brand AS model_name, round(avg(p_size) / 50, 6) AS f FROM part WHERE p_type = 'ECONOMY' GROUP BY 1)
+  SELECT model_name, version, val_f1_score, coalesce(f, 0) AS champion_f1, val_f1_score > coalesce(f, 0) AS promoted FROM a LEFT JOIN b USING (model_name)"""
+SQL["compare_experiments"] = """WITH r AS (SELECT p_brand AS e, p_type AS model, round(avg(p_size) / 50, 6) AS f1 FROM part GROUP BY 1, 2),
+  b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY e ORDER BY f1 DESC, model DESC) AS rn FROM r) WHERE rn = 1)
+  SELECT 'run of ' || x.e AS label, f1, model FROM (SELECT DISTINCT p_brand AS e FROM part UNION ALL SELECT n_name FROM nation) x
+  LEFT JOIN b ON b.e = x.e"""
+
+SQL["enrichment_cycle"] = _with(GRAPH, f""", fresh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_KEY} ORDER BY source_document DESC) AS rn
+    FROM batch_v WHERE confidence = 'high') b WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM log_v l WHERE
+    l.relationship_type = b.relationship_type AND l.source_key_value = b.source_key_value AND l.target_key_value = b.target_key_value)),
+  wr AS (SELECT * FROM fresh WHERE 'Customer:' || source_key_value IN (SELECT id FROM node)),
+  nn AS (SELECT id FROM node UNION SELECT 'Item:' || target_key_value FROM wr),
+  ne AS (SELECT src, dst, rel_type FROM old_edge UNION SELECT 'Customer:' || source_key_value, 'Item:' || target_key_value, relationship_type FROM wr),
+  nl AS (SELECT {_KEY} FROM log_v UNION SELECT {_KEY} FROM wr),
+  g AS (SELECT count(*) FILTER (WHERE confidence = 'high') AS h, count(*) FILTER (WHERE confidence = 'medium') AS m,
+    count(*) FILTER (WHERE confidence = 'low') AS l FROM batch_v),
+  c AS (SELECT unnest([1, 2])::INTEGER AS cycle)
+  SELECT cycle, 'rejected' AS step, 0::BIGINT AS rows FROM c UNION ALL SELECT cycle, 'auto_approve', h FROM c, g
+  UNION ALL SELECT cycle, 'flagged', m FROM c, g UNION ALL SELECT cycle, 'review', l FROM c, g
+  UNION ALL SELECT cycle, 'fresh', CASE cycle WHEN 1 THEN (SELECT count(*) FROM fresh) ELSE (SELECT count(*) FROM fresh) - (SELECT count(*) FROM wr) END FROM c
+  UNION ALL SELECT cycle, 'written', CASE cycle WHEN 1 THEN (SELECT count(*) FROM wr) ELSE 0 END FROM c
+  UNION ALL SELECT cycle, 'nodes', (SELECT count(*) FROM nn) FROM c UNION ALL SELECT cycle, 'edges', (SELECT count(*) FROM ne) FROM c
+  UNION ALL SELECT cycle, 'log_keys', (SELECT count(*) FROM nl) FROM c""")

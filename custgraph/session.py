@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,8 @@ LOCAL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -50,11 +51,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage and forget how it was made."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read back: its history is forgotten, its size
+    is known, and a lost executor costs nothing that was computed before."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/custgraph-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes what :func:`cut_lineage` wrote for ``df``; nothing may read it any more."""
+    path = getattr(df, "stored_at", None)
+    if path is not None:
+        spark = df.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def keep(df: DataFrame) -> DataFrame:
