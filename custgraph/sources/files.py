@@ -36,18 +36,14 @@ def read_proposal_files(spark: SparkSession, path: str) -> DataFrame:
     buckets = ("auto_approve", "flagged", "review")
     schema = ", ".join(f"{b} array<{PROPOSAL.simpleString()}>" for b in buckets)
     files = spark.read.schema(schema).option("multiLine", True).json(path)
-    tagged = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.col(b), F.array().cast(f"array<{PROPOSAL.simpleString()}>")),
-                    lambda p, b=b: F.struct(F.lit(b).alias("bucket"), p.alias("proposal")),
-                )
-                for b in buckets
-            ]
-        )
-    )
-    return files.select(F.explode(tagged).alias("t")).select("t.bucket", "t.proposal.*")
+    none = F.array().cast(f"array<{PROPOSAL.simpleString()}>")
+
+    def tagged(name: str) -> Column:
+        mark = F.lit(name).alias("bucket")
+        return F.transform(F.coalesce(F.col(name), none), lambda p: F.struct(mark, p.alias("proposal")))
+
+    rows = F.flatten(F.array(*[tagged(b) for b in buckets]))
+    return files.select(F.explode(rows).alias("t")).select("t.bucket", "t.proposal.*")
 
 
 def write_lines(lines: DataFrame, path: str, *order: Column | str) -> None:
