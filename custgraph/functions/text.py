@@ -16,6 +16,11 @@ def blank_to_null(value: Column | str) -> Column:
     return F.when(text != "", text)
 
 
+def strip(value: Column | str) -> Column:
+    """Text without white space at either end, line breaks included."""
+    return F.regexp_replace(col(value), r"^\s+|\s+$", "")
+
+
 def is_populated(value: Column | str) -> Column:
     c = col(value)
     return c.isNotNull() & (F.trim(c.cast("string")) != "")
@@ -35,7 +40,7 @@ def slugify(value: Column | str) -> Column:
 def strip_fences(value: Column | str) -> Column:
     """Text without markdown code-fence lines."""
     opened = F.regexp_replace(col(value), r"(?m)^```(?:html?)?\s*\n?", "")
-    return F.trim(F.regexp_replace(opened, r"(?m)\n?```\s*$", ""))
+    return strip(F.regexp_replace(opened, r"(?m)\n?```\s*$", ""))
 
 
 def preview(value: Column | str, length: int) -> Column:

@@ -86,9 +86,14 @@ def sector_exposure(holdings: DataFrame) -> DataFrame:
     Holdings are summed per (customer, sector) before the total is taken, so the
     window sees one row per sector and never the holdings of a large customer.
     """
-    values = holdings.groupBy(
-        "customer_id", F.coalesce(F.col("sector"), F.lit("Unknown")).alias("sector")
-    ).agg(F.sum(safe_float("current_value")).alias("sector_value"))
+    return _shares(
+        holdings.groupBy("customer_id", F.coalesce(F.col("sector"), F.lit("Unknown")).alias("sector")).agg(
+            F.sum(safe_float("current_value")).alias("sector_value")
+        )
+    )
+
+
+def _shares(values: DataFrame) -> DataFrame:
     total = F.sum("sector_value").over(Window.partitionBy("customer_id"))
     share = F.when(F.col("total_value") != 0, F.col("sector_value") / F.col("total_value") * 100)
     return values.withColumn("total_value", total).withColumn(
@@ -174,11 +179,12 @@ def portfolio_lines(holdings: DataFrame) -> DataFrame:
     """Holdings as text: a heading and total per customer, a line per sector and position."""
     section = "1_holdings"
     known = holdings.withColumn("sector", F.coalesce("sector", F.lit("Unknown")))
-    by_sector = sector_exposure(known)
-    names = known.groupBy("customer_id").agg(
+    values = known.groupBy("customer_id", "sector").agg(
+        F.sum(safe_float("current_value")).alias("sector_value"),
         F.min(full_name("first_name", "last_name")).alias("name"),
-        F.sum(safe_float("current_value")).alias("total"),
     )
+    by_sector = _shares(values)
+    names = values.groupBy("customer_id").agg(F.min("name").alias("name"), F.sum("sector_value").alias("total"))
     heading = F.concat(F.lit("## "), "name", F.lit(" ("), F.col("customer_id"), F.lit(")"))
     position = F.concat(
         F.lit("    "), "ticker", F.lit(" ("), "company_name", F.lit("): "),

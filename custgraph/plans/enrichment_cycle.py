@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ def enrichment_cycle(
     Only high confidence goes on; what the log has is dropped; the log gets exactly the
     proposals whose edge was written, under the timestamp of the edge.
     """
-    at = F.current_timestamp() if at is None else at
+    at = F.lit(datetime.now(timezone.utc)) if at is None else at  # one moment for graph and log
     valid, rejected = validate_proposals(proposals)
     routed = valid.withColumn("bucket", bucket())
     approved = routed.filter(F.col("bucket") == "auto_approve").drop("bucket")

@@ -391,7 +391,7 @@ SQL["document_stats"] = _with(CHUNK, """SELECT document_id, CAST(sum(length(text
 
 _CHUNKS = """
 piece AS (SELECT {id}, i AS "index", i * ({size} - {overlap}) AS start,
-  trim(substr(text, i * ({size} - {overlap}) + 1, {size})) AS text
+  regexp_replace(substr(text, i * ({size} - {overlap}) + 1, {size}), '^\\s+|\\s+$', '', 'g') AS text
   FROM (SELECT {id}, text, unnest(range(0, 1 + greatest(CAST(ceil((length(text) - {overlap}) / ({size} - {overlap})) AS INTEGER) - 1, 0))) AS i
   FROM {table} WHERE text <> ''))"""
 SQL["chunk_fixed"] = _with(_CHUNKS.format(id="doc_id", size=4000, overlap=200, table="documents"),
@@ -402,6 +402,44 @@ SQL["chunk_records"] = _with(
   title AS document_title, document_type, length(p.text) AS chars FROM piece p JOIN doc_v d ON d.document_id = p.document_id
   WHERE length(p.text) >= 50""")
 
+
+
+def _html_text(x: str) -> str:
+    """Readable text of an HTML fragment, as nested SQL calls."""
+    block = "p|div|li|ul|ol|br|tr|table|section|article|header|footer|nav|h[1-6]"
+    x = f"regexp_replace({x}, '(?i)</?({block})\\b[^>]*>', chr(10), 'g')"
+    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    x = f"regexp_replace({x}, '[ \\t\\r]+', ' ', 'g')"
+    x = f"regexp_replace({x}, ' ?\\n[ \\n]*', chr(10), 'g')"
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _html_sql() -> str:
+    body = "regexp_replace(html, '(?is)^.*?<body[^>]*>', '')"
+    body = f"regexp_replace({body}, '(?is)<(script|style)\\b.*?</(script|style)>', '', 'g')"
+    views = [f"l0 AS (SELECT page_id, regexp_replace({body}, '(?s)<!--.*?-->', '', 'g') AS part FROM pages)"]
+    names, keep = ("section_header", "section_subheader", "section_detail"), "page_id"
+    for n, name in enumerate(names, 1):
+        marked = f"regexp_replace(part, '(?i)<h{n}\\b', chr(1) || '<h{n}', 'g')"
+        views.append(
+            f"s{n} AS (SELECT {keep}, unnest(string_split({marked}, chr(1))) AS piece, "
+            f"generate_subscripts(string_split({marked}, chr(1)), 1) - 1 AS p{n} FROM l{n - 1})"
+        )
+        head = f"regexp_matches(piece, '(?i)^<h{n}\\b')"
+        title = _html_text(f"regexp_extract(piece, '(?is)^<h{n}\\b[^>]*>(.*?)</h{n}>', 1)")
+        rest = f"regexp_replace(piece, '(?is)^<h{n}\\b[^>]*>.*?</h{n}>', '')"
+        views.append(
+            f"l{n} AS (SELECT {keep}, CAST(p{n} AS INTEGER) AS p{n}, CASE WHEN {head} THEN {title} ELSE '' END AS {name}, "
+            f"CASE WHEN {head} THEN {rest} ELSE piece END AS part FROM s{n})"
+        )
+        keep += f", p{n}, {name}"
+    return "WITH " + ",\n".join(views) + f"\nSELECT * FROM (SELECT {keep}, {_html_text('part')} AS text FROM l3) WHERE text <> ''"
+
+
+SQL["html_sections"] = _html_sql()
+
 _WORDS = "[^\\p{L}\\p{N}]+"
 SQL["chunk_postings"] = _with(CHUNK, f"""SELECT token, chunk_id, count(*) AS tf FROM (
   SELECT chunk_id, unnest(regexp_split_to_array(lower(text), '{_WORDS}')) AS token FROM chunk_v) WHERE token <> '' GROUP BY 1, 2""")
