@@ -50,8 +50,8 @@ def salted_join(
 ) -> DataFrame:
     """``big`` joined to ``small`` on ``key``, the rows of hot keys spread over many tasks.
 
-    Keys are counted on ``measure``: a stored or already shuffled frame that ``big`` comes
-    from, so that nothing costly runs twice. It defaults to ``big`` itself.
+    Keys are counted on ``measure``, a stored or cached frame that ``big`` comes from, so
+    that only its key column is read once more. It defaults to ``big`` itself.
     """
     hot = hot_keys(big if measure is None else measure, key, per_slice)
     left, right = slice_rows(big, key, hot, spread_by), copy_rows(small, key, hot)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.skew import salted_join
 from ..functions.text import full_name, money
+from ..session import keep
 
 STRUCTURING_LOW, STRUCTURING_HIGH = 8000, 10000  # fixed values: the band below the reporting limit
 MIN_GROUP = 3  # fixed value: smallest pattern reported
@@ -70,7 +71,7 @@ def community_transfers(
     Transfers are summed per account pair before the communities are looked up, so
     the two joins see each pair once; a hot sender or receiver is spread by salt.
     """
-    pairs = (
+    pairs = keep(
         in_band(transactions, low, high)
         .groupBy(F.col("from_account_id").alias("from_account"), F.col("to_account_id").alias("to_account"))
         .agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("total"))

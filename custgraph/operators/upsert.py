@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.skew import salted_join
 from ..model import DEDUP_KEY, PROVENANCE
+from ..session import keep
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -69,7 +70,7 @@ def upsert_edges(existing: DataFrame, incoming: DataFrame, nodes: DataFrame) ->
     Repeats collapse before the endpoint joins; a hot endpoint is spread by salt.
     """
     keys = ["src", "dst", "rel_type"]
-    distinct = incoming.select(*keys).distinct()
+    distinct = keep(incoming.select(*keys).distinct())
     ids = nodes.select("id").distinct()
     with_source = salted_join(distinct, ids.withColumnRenamed("id", "src"), "src", ["dst", "rel_type"])
     valid = salted_join(with_source, ids.withColumnRenamed("id", "dst"), "dst", ["src", "rel_type"], measure=distinct)
@@ -113,11 +114,13 @@ def writeback_plan(proposals: DataFrame, nodes: DataFrame, edges: DataFrame) ->
     (src, dst, rel_type, target_action, edge_action): the source must exist, a missing
     target is created, an existing edge is updated.
     """
-    wanted = proposals.select(
-        F.concat_ws(":", "source_label", "source_key_value").alias("src"),
-        F.concat_ws(":", "target_label", "target_key_value").alias("dst"),
-        F.col("relationship_type").alias("rel_type"),
-    ).distinct()
+    wanted = keep(
+        proposals.select(
+            F.concat_ws(":", "source_label", "source_key_value").alias("src"),
+            F.concat_ws(":", "target_label", "target_key_value").alias("dst"),
+            F.col("relationship_type").alias("rel_type"),
+        ).distinct()
+    )
     ids = nodes.select("id").distinct()
     checked = salted_join(
         wanted, ids.select(F.col("id").alias("src"), F.lit(True).alias("_src")), "src", ["dst"], "left"
@@ -146,7 +149,8 @@ def enrichment_upsert(
     """
     at = F.current_timestamp() if at is None else at
     known = nodes.select(F.col("id").alias("src")).distinct()
-    incoming = salted_join(flat_edges(proposals, run_id, at), known, "src", ["dst", "rel_type"])
+    flat = keep(flat_edges(proposals, run_id, at))
+    incoming = keep(salted_join(flat, known, "src", ["dst", "rel_type"]))
     targets = incoming.select(
         F.col("dst").alias("id"), F.col("target_label").alias("label"), F.col("target_key_value").alias("key")
     ).distinct()

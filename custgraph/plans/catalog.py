@@ -691,7 +691,7 @@ def modularity(p: Portfolio) -> DataFrame:
     """Modularity of the segments with every part in the community of its brand."""
     parts = p.raw("part").select(p.tag("P", "p_partkey").alias("id"), F.col("p_brand").alias("community_id"))
     both = p.communities().unionByName(parts)
-    return rounded(louvain_module.modularity(_holding_graph(p).directed, both), 9, "modularity")
+    return rounded(louvain_module.modularity(keep(_holding_graph(p).directed), both), 9, "modularity")
 
 
 @query
