@@ -125,3 +125,8 @@ def representative_companies(companies: DataFrame, count: int, seed: int = 42) -
         ranked.select("company_id", "name", "sector", place.alias("place"), key.alias("_sort"))
         .orderBy("place", "_sort", "company_id").limit(count).drop("_sort")
     )
+
+
+def shuffled_first(df: DataFrame, identifier: str, count: int, seed: int = 42) -> DataFrame:
+    """``count`` rows in shuffled order, as the banks to describe are picked."""
+    return df.orderBy(shuffle_key(seed, identifier), identifier).limit(count)

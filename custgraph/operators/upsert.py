@@ -52,6 +52,12 @@ def update_columns(existing: DataFrame, incoming: DataFrame, key: str) -> DataFr
     return updated.drop("action")
 
 
+def write_properties(nodes: DataFrame, values: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Nodes (id, label, ...) with the columns of ``values`` (id, ...) set on the given labels only."""
+    chosen = nodes.filter(F.col("label").isin(*labels)).select("id")
+    return update_columns(nodes, values.join(chosen, "id", "left_semi"), "id")
+
+
 def write_predictions(customers: DataFrame, predictions: DataFrame, source: str, at: Column | None = None) -> DataFrame:
     """Customers with the predicted category, its source and time."""
     at = F.current_timestamp() if at is None else at

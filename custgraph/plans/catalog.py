@@ -482,6 +482,11 @@ def representative_customers(p: Portfolio) -> DataFrame:
     return style.representative_customers(p.customer(), 25)
 
 
+@query
+def representative_banks(p: Portfolio) -> DataFrame:
+    return style.shuffled_first(p.bank(), "bank_id", 6)
+
+
 @query
 def representative_companies(p: Portfolio) -> DataFrame:
     return style.representative_companies(p.company(), 12)
@@ -593,20 +598,32 @@ def hash_embeddings(p: Portfolio) -> DataFrame:
     )
 
 
+def _structured(p: Portfolio) -> DataFrame:
+    return context.structured_lines(p.customer(), p.account(), context.portfolio_holdings(p.tables()))
+
+
 @query
 def analysis_contexts(p: Portfolio) -> DataFrame:
-    """The five contexts over holdings, profiles, conversations and the log."""
+    """The five contexts over holdings, profiles, vectors and the log; a label centroid stands
+    for the query vector of each analysis."""
+    queries = dict(zip(retrieval.ANALYSIS_SECTIONS, p.label_centroids().values()))
+    hits = retrieval.vector_topk(p.vector_chunks(), queries)
+    describes = documents.describes_edges(p.document(), p.customer())
+    found = retrieval.graph_aware_hits(hits, p.vector_chunks(), p.document(), describes, p.customer())
+    return retrieval.analysis_contexts(
+        _structured(p), retrieval.excerpt_lines(found), proposals.prior_enrichment_lines(p.log())
+    )
+
+
+@query
+def analysis_excerpts(p: Portfolio) -> DataFrame:
+    """Conversation turns found for the five analysis texts by the built-in embedder."""
     chunks = p.conversation_chunks()
     model = retrieval.fit_hash_embedder(chunks)
-    hits = retrieval.vector_topk(
-        retrieval.hash_embeddings(chunks, model), retrieval.embed_queries(p.spark, model)
-    )
+    hits = retrieval.vector_topk(retrieval.hash_embeddings(chunks, model), retrieval.embed_queries(p.spark, model))
     describes = documents.describes_edges(p.document(), p.customer())
     found = retrieval.graph_aware_hits(hits, chunks, p.document(), describes, p.customer())
-    lines = context.structured_lines(p.customer(), p.account(), context.portfolio_holdings(p.tables()))
-    return retrieval.analysis_contexts(
-        lines, retrieval.excerpt_lines(found), proposals.prior_enrichment_lines(p.log())
-    )
+    return retrieval.excerpt_lines(found)
 
 
 # ----------------------------------------------------------------- vectors
@@ -668,6 +685,14 @@ def node_degree(p: Portfolio) -> DataFrame:
     return projection.node_degree(_graph(p))
 
 
+@query
+def property_writeback(p: Portfolio) -> DataFrame:
+    """Degrees written to the customers and stocks of the graph, not to its accounts."""
+    graph = _graph(p)
+    values = projection.node_degree(graph).select("id", "degree")
+    return upsert.write_properties(graph.nodes, values, ["Customer", "Stock"])
+
+
 @query
 def pagerank(p: Portfolio) -> DataFrame:
     return rounded(pagerank_module.pagerank(_graph(p)).scores, 6, "score")
@@ -796,6 +821,12 @@ def create_holdout(p: Portfolio) -> DataFrame:
     return hidden.join(truth, "customer_id")
 
 
+@query
+def holdout_counts(p: Portfolio) -> DataFrame:
+    base = p.customer().select("customer_id", F.col("risk_profile").alias("risk_category"))
+    return split.holdout_counts(split.create_holdout(base, kept_per_class=20)[1])
+
+
 @query
 def reapply_holdout(p: Portfolio) -> DataFrame:
     base = p.customer().select("customer_id", F.col("risk_profile").alias("risk_category"))

@@ -639,3 +639,45 @@ SQL["enrichment_cycle"] = _with(GRAPH, f""", fresh AS (SELECT * FROM (SELECT *,
   UNION ALL SELECT cycle, 'written', CASE cycle WHEN 1 THEN (SELECT count(*) FROM wr) ELSE 0 END FROM c
   UNION ALL SELECT cycle, 'nodes', (SELECT count(*) FROM nn) FROM c UNION ALL SELECT cycle, 'edges', (SELECT count(*) FROM ne) FROM c
   UNION ALL SELECT cycle, 'log_keys', (SELECT count(*) FROM nl) FROM c""")
+
+SQL["holdout_counts"] = _with(f"{CUSTOMER}, {_holdout('customer_v', 'risk_profile', 20, 42)}", """SELECT t AS true_risk_category,
+  count(*) FILTER (WHERE NOT is_held_out) AS kept, count(*) FILTER (WHERE is_held_out) AS held_out FROM hold WHERE t IS NOT NULL GROUP BY 1""")
+SQL["representative_banks"] = """SELECT 'B' || n_nationkey AS bank_id, n_name AS name FROM nation
+  ORDER BY md5('42:B' || n_nationkey), 'B' || n_nationkey LIMIT 6"""
+SQL["property_writeback"] = _with(PORTFOLIO_GRAPH, """SELECT n.id, label, CASE WHEN label <> 'Account' THEN coalesce(degree, 0) END AS degree
+  FROM gnode n LEFT JOIN deg d ON d.id = n.id""")
+
+# ------------------------------------------------------------------ analysis contexts
+
+_ANALYSES = {
+    "interest_holding_gaps": "1_holdings", "risk_alignment": "2_profiles", "data_quality_gaps": "3_completeness",
+    "investment_themes": None, "comprehensive": "all",
+}
+_ORDERED = "section, group_key, block, sub_key, item_key, line"
+
+
+def _contexts_sql() -> str:
+    parts = []
+    for number, (name, section) in enumerate(_ANALYSES.items()):
+        if section:
+            where = "" if section == "all" else f" WHERE section = '{section}'"
+            parts.append(f"SELECT '{name}' AS query_type, {_ORDERED} FROM lines{where}")
+            parts.append(f"SELECT '{name}', '0_structured', '', 0, '', '', '## Structured Data (Portfolio / Account / Customer Data)'")
+        rule = "---' || chr(10) || chr(10) || '" if section else ""
+        parts.append(f"SELECT '{name}', '4_', '', 0, '', '', '{rule}## Document Excerpts (Customer Profiles, Market Research)'")
+        parts.append(f"SELECT '{name}', '4_excerpts', '', rank, customer_key, '', line FROM ex WHERE query = '{number}'")
+        parts.append(f"SELECT '{name}', {_ORDERED} FROM prior")
+        parts.append(
+            f"SELECT '{name}', '6_instructions', '', 0, '', '', '---' || chr(10) || chr(10) || '## Analysis Instructions' "
+            f"|| chr(10) || chr(10) || '{name}'"
+        )
+    lines = " UNION ALL ".join(
+        f"SELECT {_ORDERED} FROM ({SQL[n]})" for n in ("portfolio_context", "profile_context", "completeness_context")
+    )
+    return (
+        f"WITH lines AS ({lines}), ex AS ({SQL['retrieval_context']}), prior AS ({SQL['prior_enrichments']})\n"
+        + "\nUNION ALL ".join(parts)
+    )
+
+
+SQL["analysis_contexts"] = _contexts_sql()
