@@ -957,9 +957,15 @@ def enrichment_cycle(p: Portfolio) -> DataFrame:
     """The batch applied twice: the second cycle finds everything in the log and writes nothing."""
     from .enrichment_cycle import enrichment_cycle as run_cycle
 
-    nodes, edges = _graph_state(p)
-    log = log_table.log_rows(p.log(), "run-0", run_time())
+    nodes, edges = (keep(df) for df in _graph_state(p))
+    log = keep(log_table.log_rows(p.log(), "run-0", run_time()))
     first = run_cycle(p.batch(), nodes, edges, log, RUN_ID, run_time())
     second = run_cycle(p.batch(), first.nodes, first.edges, first.log, "run-2", run_time())
-    rows = [(i, step, n) for i, c in enumerate((first, second), 1) for step, n in c.counts.items()]
+    rows = []
+    for number, cycle in enumerate((first, second), 1):
+        sizes = {
+            "nodes": cycle.nodes.count(), "edges": cycle.edges.count(),
+            "log_keys": cycle.log.select(*DEDUP_KEY).distinct().count(),
+        }
+        rows += [(number, step, n) for step, n in (cycle.counts | sizes).items()]
     return p.spark.createDataFrame(rows, "cycle int, step string, rows bigint")

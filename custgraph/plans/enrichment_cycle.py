@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..model import DEDUP_KEY
 from ..operators.proposals import bucket, deduplicate, validate_proposals
 from ..operators.upsert import enrichment_upsert
 from ..session import cut_lineage
@@ -17,11 +16,13 @@ from ..sources.log import log_rows
 
 @dataclass(frozen=True)
 class Cycle:
-    """State after a cycle; frames are stored, so the next cycle starts from tables."""
+    """State after a cycle: the given tables plus the stored rows the cycle added, nothing
+    rewritten. ``added`` is what goes to the end of the log; nodes and edges go to a snapshot."""
 
     nodes: DataFrame
     edges: DataFrame
     log: DataFrame
+    added: DataFrame
     counts: dict[str, int]
 
 
@@ -40,22 +41,11 @@ def enrichment_cycle(
     fresh = cut_lineage(deduplicate(approved, log))
     new_nodes, new_edges, written = enrichment_upsert(fresh, nodes, edges, run_id, at)
     added = cut_lineage(log_rows(written, run_id, at))
-    after = Cycle(
-        cut_lineage(new_nodes),
-        cut_lineage(new_edges),
-        cut_lineage(log.select(*added.columns).unionByName(added)),
-        {},
-    )
     buckets = {r["bucket"]: r["count"] for r in routed.groupBy("bucket").count().collect()}
-    after.counts.update(
-        rejected=rejected.count(),
-        auto_approve=buckets.get("auto_approve", 0),
-        flagged=buckets.get("flagged", 0),
-        review=buckets.get("review", 0),
-        fresh=fresh.count(),
-        written=added.count(),
-        nodes=after.nodes.count(),
-        edges=after.edges.count(),
-        log_keys=after.log.select(*DEDUP_KEY).distinct().count(),
-    )
-    return after
+    counts = {
+        "rejected": rejected.count(),
+        **{name: buckets.get(name, 0) for name in ("auto_approve", "flagged", "review")},
+        "fresh": fresh.count(),
+        "written": added.count(),
+    }
+    return Cycle(new_nodes, new_edges, log.select(*added.columns).unionByName(added), added, counts)
