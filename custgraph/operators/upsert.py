@@ -21,20 +21,15 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return chosen.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def upsert_nodes(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Rows matched by key take every incoming column, null included; the others are added.
-
-    ``incoming`` has one row per key (see :func:`newest_per_key`). ``action`` says what
-    happened to each row: keep, update or insert.
-    """
+def _merge(existing: DataFrame, incoming: DataFrame, key: str, how: str) -> DataFrame:
+    """Existing and incoming rows side by side by key, incoming columns first where a row came in."""
     new = incoming.withColumn("_in", F.lit(True)).alias("n")
     old = existing.withColumn("_old", F.lit(True)).alias("o")
-    joined = old.join(new, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
     came = F.col("n._in").isNotNull()
     columns = []
     for name in [*existing.columns, *[c for c in incoming.columns if c not in existing.columns]]:
         if name == key:
-            value = F.coalesce(F.col(f"n.{key}"), F.col(f"o.{key}"))
+            value = F.coalesce(F.col(f"o.{key}"), F.col(f"n.{key}"))
         elif name not in incoming.columns:
             value = F.col(f"o.{name}")
         elif name not in existing.columns:
@@ -43,13 +38,22 @@ def upsert_nodes(existing: DataFrame, incoming: DataFrame, key: str) -> DataFram
             value = F.when(came, F.col(f"n.{name}")).otherwise(F.col(f"o.{name}"))
         columns.append(value.alias(name))
     action = F.when(F.col("o._old").isNull(), "insert").when(came, "update").otherwise("keep")
+    joined = old.join(new, F.col(f"o.{key}") == F.col(f"n.{key}"), how)
     return joined.select(*columns, action.alias("action"))
 
 
+def upsert_nodes(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """Rows matched by key take every incoming column, null included; the others are added.
+
+    ``incoming`` has one row per key (see :func:`newest_per_key`). ``action`` says what
+    happened to each row: keep, update or insert.
+    """
+    return _merge(existing, incoming, key, "full_outer")
+
+
 def update_columns(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Existing rows with the incoming columns set where the key matches; adds no rows."""
-    updated = upsert_nodes(existing, incoming.join(existing.select(key), key, "left_semi"), key)
-    return updated.drop("action")
+    return _merge(existing, incoming, key, "left").drop("action")
 
 
 def write_properties(nodes: DataFrame, values: DataFrame, labels: Sequence[str]) -> DataFrame:
