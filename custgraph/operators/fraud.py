@@ -113,26 +113,42 @@ def flow_rings(transfers: DataFrame, min_size: int = MIN_GROUP) -> DataFrame:
     return members.join(sizes.filter(F.col("ring_size") >= min_size), "community_id")
 
 
-def coordinated_positions(
-    accounts: DataFrame, positions: DataFrame, stocks: DataFrame, companies: DataFrame, min_holders: int = MIN_GROUP
-) -> DataFrame:
-    """Stocks held by several accounts of one community, one row per holder."""
+def _holders(accounts: DataFrame, positions: DataFrame) -> DataFrame:
+    """(account_id, stock_id, community_id), one row per holder of a stock."""
     held = positions.select("account_id", "stock_id").distinct()
     known = accounts.filter(F.col("community_id").isNotNull()).select("account_id", "community_id")
-    holders = held.join(known, "account_id")
+    return held.join(known, "account_id")
+
+
+def position_groups(
+    accounts: DataFrame, positions: DataFrame, stocks: DataFrame, companies: DataFrame, min_holders: int = MIN_GROUP
+) -> DataFrame:
+    """Stocks held by several accounts of one community, one row per community and stock."""
     groups = (
-        holders.groupBy("community_id", "stock_id")
+        _holders(accounts, positions)
+        .groupBy("community_id", "stock_id")
         .agg(F.count(F.lit(1)).alias("holder_count"))
         .filter(F.col("holder_count") >= min_holders)
     )
-    named = groups.join(
+    return groups.join(
         stocks.select("stock_id", "ticker", "company_id", "market_cap_billions"), "stock_id"
-    ).join(companies.select("company_id", F.col("name").alias("company_name")), "company_id")
-    return holders.join(named, ["community_id", "stock_id"]).select(
+    ).join(companies.select("company_id", F.col("name").alias("company_name")), "company_id").drop("company_id")
+
+
+def position_members(accounts: DataFrame, positions: DataFrame, groups: DataFrame) -> DataFrame:
+    """The holders of each group, one row per holder."""
+    return _holders(accounts, positions).join(groups, ["community_id", "stock_id"]).select(
         "community_id", "stock_id", "ticker", "company_name", "market_cap_billions", "account_id", "holder_count"
     )
 
 
+def coordinated_positions(
+    accounts: DataFrame, positions: DataFrame, stocks: DataFrame, companies: DataFrame, min_holders: int = MIN_GROUP
+) -> DataFrame:
+    """Stocks held by several accounts of one community, one row per holder."""
+    return position_members(accounts, positions, position_groups(accounts, positions, stocks, companies, min_holders))
+
+
 # Order in which the signals of one account are listed.
 SIGNAL_ORDER = {"structuring": 1, "circular_flow": 2, "coordinated_position": 3}
 
@@ -183,19 +199,19 @@ def combined_risk(signals: DataFrame, customers: DataFrame, accounts: DataFrame)
 
 
 def fraud_summary(
-    communities: DataFrame, structuring: DataFrame, flows: DataFrame, rings: DataFrame,
-    positions: DataFrame, combined: DataFrame,
+    bank_groups: DataFrame, structuring: DataFrame, flows: DataFrame, rings: DataFrame,
+    stock_groups: DataFrame, combined: DataFrame,
 ) -> DataFrame:
-    """Size of each section of the report as (section, entries)."""
+    """Size of each section of the report as (section, entries); the groups have a row each."""
     def size(name: str, df: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("entries")).select(F.lit(name).alias("section"), "entries")
 
     parts = [
-        size("suspicious_communities", communities.select("community_id", "bank_id").distinct()),
+        size("suspicious_communities", bank_groups),
         size("structuring_accounts", structuring),
         size("circular_flow_edges", flows),
         size("circular_flow_rings", rings.select("community_id").distinct()),
-        size("coordinated_positions", positions.select("community_id", "stock_id").distinct()),
+        size("coordinated_positions", stock_groups),
         size("flagged_accounts", combined),
         size("flagged_customers", combined.select("customer_id").distinct()),
     ]

@@ -35,13 +35,15 @@ def fraud_sections(
     structuring = keep(fraud.structuring_accounts(accounts, transactions))
     transfers = keep(fraud.community_transfers(accounts, transactions))
     rings = keep(fraud.flow_rings(transfers))
-    coordinated = keep(fraud.coordinated_positions(accounts, positions, stocks, companies))
+    stock_groups = keep(fraud.position_groups(accounts, positions, stocks, companies))
+    coordinated = fraud.position_members(accounts, positions, stock_groups)
+    bank_groups = fraud.community_bank_groups(accounts, min_accounts)
     communities = fraud.suspicious_communities(accounts, banks, min_accounts)
     signals = keep(fraud.risk_signals(structuring, rings, coordinated))
     combined = fraud.combined_risk(signals, customers, accounts)
     flows = fraud.flow_edges(transfers)
     return {
-        "summary": fraud.fraud_summary(communities, structuring, flows, rings, coordinated, combined),
+        "summary": fraud.fraud_summary(bank_groups, structuring, flows, rings, stock_groups, combined),
         "suspicious_communities": communities,
         "structuring_accounts": structuring,
         "circular_flow_edges": flows,
