@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,20 +35,24 @@ def local_session(cores: int | str = 8, partitions: int = 8, memory: str = "8g")
     return spark
 
 
+_scratch: dict[str, str] = {}  # application id -> folder of a local session that names none
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, as the session names it.
 
-    A cluster must name a folder that all executors see; only a local master
-    falls back to a scratch folder.
+    A cluster must name a folder that all executors see; only a local master, whose
+    executors share the driver's disk, falls back to one scratch folder for each application.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+        return configured.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    scratch = tempfile.mkdtemp(prefix="custgraph-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    return scratch
+    application = spark.sparkContext.applicationId
+    if application not in _scratch:
+        _scratch[application] = f"file://{tempfile.mkdtemp(prefix='custgraph-')}"
+    return _scratch[application]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
