@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, mixing, quality, secrets, tokens, toxicity
+from . import licenses, minhash, mixing, quality, secrets, tokens, toxicity
 from .sql import SQL as SQL
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, least=80)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(), limit=512)
 
@@ -52,4 +56,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-REGISTRY = {f.__name__: f for f in (op2_token_counts, op4_licenses, op6_mix, op8_secrets, op9_toxicity, op10_quality)}
+REGISTRY = {f.__name__: f for f in (op1_minhash, op2_token_counts, op4_licenses, op6_mix, op8_secrets, op9_toxicity, op10_quality)}
