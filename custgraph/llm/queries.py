@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, minhash, mixing, quality, secrets, tokens, toxicity
+from . import decontaminate, licenses, minhash, mixing, quality, secrets, tokens, toxicity
 from .sql import SQL as SQL
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
@@ -56,4 +60,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-REGISTRY = {f.__name__: f for f in (op1_minhash, op2_token_counts, op4_licenses, op6_mix, op8_secrets, op9_toxicity, op10_quality)}
+REGISTRY = {f.__name__: f for f in (op1_minhash, op2_token_counts, op4_licenses, op6_mix, op7_decontaminate, op8_secrets, op9_toxicity, op10_quality, pipeline)}
