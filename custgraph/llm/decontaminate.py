@@ -33,6 +33,7 @@ WALKS, TABLES, BITS = 8, 8, 2
 ITEMS = 5000
 SHARE = 0.2
 SLICE = 4096  # windows embedded at once
+CHUNK = 16 << 20  # bytes of texts handled at once; a longer text makes a chunk of its own
 
 
 def edits_allowed(n: int, share: float) -> int:
@@ -120,52 +121,57 @@ class Items:
             held[walk] = embed(self.items[number][1][None, :], walk, steps)[0]
         return held[walk]
 
-    def windows(self, words: np.ndarray) -> np.ndarray:
-        """Distinct (item, start) of the windows to look at; a start may lie before the first word."""
-        pairs = [np.empty((0, 2), np.int64)]
+    def windows(self, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Distinct (text, item, start) of the windows to look at in texts that lie between ``bounds``;
+        a start may lie before the first word of its text."""
+        found = [np.empty((0, 3), np.int64)]
         for size, (hashes, number, offset) in self.runs.items():
             here = grams(words, size)
             low = np.searchsorted(hashes, here)
             hit = np.flatnonzero(hashes[np.minimum(low, len(hashes) - 1)] == here)
+            text = np.searchsorted(bounds, hit, side="right") - 1
+            whole = hit + size <= bounds[text + 1]  # not across the end of a text
+            hit, text = hit[whole], text[whole]
             low, high = low[hit], np.searchsorted(hashes, here[hit], side="right")
             times = high - low
-            where = np.repeat(hit, times)
             which = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
-            pairs.append(np.unique(np.stack([number[which], where - offset[which]], axis=1), axis=0))
-        return np.concatenate(pairs)
+            new = np.stack([np.repeat(text, times), number[which], np.repeat(hit, times) - offset[which]], axis=1)
+            found.append(np.unique(new, axis=0))
+        return np.concatenate(found)
 
-    def similar(self, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    def similar(self, words: np.ndarray, bounds: np.ndarray, windows: np.ndarray) -> np.ndarray:
         """Which windows agree with their item in a table."""
-        agree = np.zeros(len(pairs), bool)
-        sizes = np.array([len(w) for _, w in self.items], np.int64)[pairs[:, 0]]
+        agree = np.zeros(len(windows), bool)
+        sizes = np.array([len(w) for _, w in self.items], np.int64)[windows[:, 1]]
         for n in np.unique(sizes).tolist():
             of_size = np.flatnonzero(sizes == n)
             for at in range(0, len(of_size), SLICE):
                 some = of_size[at : at + SLICE]
-                place = pairs[some, 1][:, None] + np.arange(n)
-                outside = (place < 0) | (place >= len(words))
+                text, number, start = windows[some].T
+                place = start[:, None] + np.arange(n)
+                outside = (place < bounds[text][:, None]) | (place >= bounds[text + 1][:, None])
                 cut = np.where(outside, np.uint64(0), words[np.clip(place, 0, len(words) - 1)])
+                numbers, back = np.unique(number, return_inverse=True)
                 for walk in range(WALKS):
                     steps, tables = sampled(n, walk)
-                    numbers, back = np.unique(pairs[some, 0], return_inverse=True)
                     goal = np.stack([self.item_symbols(int(x), walk, steps) for x in numbers])[back]
                     agree[some] |= (embed(cut, walk, steps) == goal)[:, tables].all(axis=2).any(axis=1)
         return agree
 
-    def matches(self, words: np.ndarray) -> dict[int, int]:
-        """Least number of edits by item, for the items that contaminate a text of these words."""
-        best: dict[int, int] = {}
-        pairs = self.windows(words)
-        if not len(pairs):
+    def matches(self, words: np.ndarray, bounds: np.ndarray) -> dict[tuple[int, int], int]:
+        """Least number of edits by (text, item id), where an item contaminates a text."""
+        best: dict[tuple[int, int], int] = {}
+        windows = self.windows(words, bounds)
+        if not len(windows):
             return best
-        for number, start in pairs[self.similar(words, pairs)].tolist():
+        for text, number, start in windows[self.similar(words, bounds, windows)].tolist():
             name, item = self.items[number]
             k = edits_allowed(len(item), self.share)
-            if best.get(name) == 0:
+            if best.get((text, name)) == 0:
                 continue
-            edits = distance(item, words[max(0, start - k) : max(0, start + len(item) + k)])
+            edits = distance(item, words[max(bounds[text], start - k) : min(bounds[text + 1], start + len(item) + k)])
             if edits <= k:
-                best[name] = min(best.get(name, edits), edits)
+                best[text, name] = min(best.get((text, name), edits), edits)
         return best
 
 
@@ -175,17 +181,11 @@ def _hits(docs: DataFrame, items: Items) -> DataFrame:
     def work(batches):
         for batch in batches:
             texts, rows, found = byte_texts(batch.column(1)), [], []
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK):
                 words, bounds = hash_texts(texts[a:b], ALNUM)
-                seeded = np.zeros(len(words), bool)
-                for size, (hashes, _, _) in items.runs.items():
-                    here = grams(words, size)
-                    seeded[: len(here)] |= hashes[np.minimum(np.searchsorted(hashes, here), len(hashes) - 1)] == here
-                before = np.concatenate([[0], np.cumsum(seeded)])
-                for i in np.flatnonzero(before[bounds[1:]] > before[bounds[:-1]]).tolist():
-                    for name, edits in items.matches(words[bounds[i] : bounds[i + 1]]).items():
-                        rows.append(a + i)
-                        found.append((name, edits))
+                for (text, name), edits in items.matches(words, bounds).items():
+                    rows.append(a + text)
+                    found.append((name, edits))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32())],
                 names=["id", "item", "edits"],
