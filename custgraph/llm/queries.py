@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, minhash, mixing, quality, secrets, tokens, toxicity
+from . import decontaminate, embeddings, licenses, minhash, mixing, quality, secrets, tokens, toxicity
 from .sql import SQL as SQL
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +28,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path(), limit=512)
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -60,4 +64,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-REGISTRY = {f.__name__: f for f in (op1_minhash, op2_token_counts, op4_licenses, op6_mix, op7_decontaminate, op8_secrets, op9_toxicity, op10_quality, pipeline)}
+REGISTRY = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_embeddings, op4_licenses, op6_mix, op7_decontaminate, op8_secrets, op9_toxicity, op10_quality, pipeline)}
