@@ -43,7 +43,7 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors**2).sum(axis=1, keepdims=True))
 
 
-def bucket_keys(vectors: np.ndarray, label: int) -> np.ndarray:
+def bucket_keys(vectors: np.ndarray, label: str) -> np.ndarray:
     """One 64-bit key of each unit row and table."""
     dim = vectors.shape[1]
     dice = np.random.default_rng([11, dim])
@@ -52,7 +52,7 @@ def bucket_keys(vectors: np.ndarray, label: int) -> np.ndarray:
     keys = np.empty((len(vectors), TABLES), np.int64)
     for i in range(len(vectors)):
         for t in range(TABLES):
-            digest = hashlib.blake2b(cells[i, t].tobytes(), digest_size=8, salt=f"{label}:{t}"[:16].encode(), person=str(dim).encode())
+            digest = hashlib.blake2b(cells[i, t].tobytes() + f"{label}:{t}:{dim}".encode(), digest_size=8)
             keys[i, t] = int.from_bytes(digest.digest(), "little", signed=True)
     return keys
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embeddings, licenses, minhash, mixing, quality, secrets, tokens, toxicity
+from . import decontaminate, embeddings, language_model, licenses, minhash, mixing, quality, secrets, tokens, toxicity
 from .sql import SQL as SQL
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,6 +36,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -64,4 +68,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-REGISTRY = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_embeddings, op4_licenses, op6_mix, op7_decontaminate, op8_secrets, op9_toxicity, op10_quality, pipeline)}
+REGISTRY = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_embeddings, op4_licenses, op5_language_model, op6_mix, op7_decontaminate, op8_secrets, op9_toxicity, op10_quality, pipeline)}
