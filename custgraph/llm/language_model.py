@@ -53,7 +53,8 @@ class EliasFano:
 
     def values(self, start: int = 0, end: int | None = None) -> np.ndarray:
         """The numbers from ``start`` to ``end``."""
-        end = self.n if end is None else end
+        end = self.n if end is None else min(end, self.n)
+        start = min(start, end)
         high = np.flatnonzero(np.unpackbits(self.highs))[start:end] - np.arange(start, end)
         bits = np.unpackbits(self.lows, count=self.n * self.low).reshape(self.n, self.low)[start:end]
         low = bits.astype(np.uint64) @ (np.uint64(1) << np.arange(self.low, dtype=np.uint64))

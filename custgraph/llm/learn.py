@@ -71,6 +71,12 @@ class Design:
         bounds = np.concatenate([[0], np.cumsum([len(p) for p in picked])]).astype(np.int64)
         return cls(known, np.concatenate([np.empty(0, np.int64), *picked]), bounds)
 
+    def reduced(self, kept: np.ndarray) -> Design:
+        """The design of the features marked in ``kept``."""
+        place, held = np.cumsum(kept) - 1, kept[self.columns]
+        bounds = np.concatenate([[0], np.cumsum(held)])[self.bounds]
+        return Design(self.known[kept], place[self.columns[held]], bounds)
+
     @property
     def row_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))

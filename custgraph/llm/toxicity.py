@@ -1,9 +1,9 @@
-"""Toxicity by cumulative-link ordinal regression over sparse word indicators.
+"""Toxicity by cumulative-link ordinal regression over sparse indicators of words and their beginnings.
 
 P(grade > k) = sigmoid(w.x - t_k) with one weight vector for all grades and rising thresholds t_k.
 The labels are 0 or 1, so grades are made from them: label 0 is grade 0; label 1 is graded by the
-number of distinct words of the text that tell of the class (log-odds of at least ``TELLING`` in the
-sample): 1 for up to one such word, 2 for two or three, 3 for more. Expected severity is the sum of
+number of features of the text that tell of the class (log-odds of at least ``TELLING`` in the
+sample): 1 for up to one such feature, 2 for two or three, 3 for more. Expected severity is the sum of
 P(grade > k) over k; a text is rejected when P(grade > 0) is at least ``REJECT``.
 
 The model is fitted on at most ``learn.SAMPLE`` labelled rows; every text is scored whole.
@@ -14,6 +14,7 @@ not read.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,16 +22,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .learn import SAMPLE, Adam, Design, labelled_sample, lookup, sigmoid
-from .words import ALNUM, byte_texts, chunks, hash_texts, hash_words
+from .words import ALNUM, byte_texts, chunks, hash_texts, mix
 
 GRADES = 4
 TELLING = 2.0
-REJECT = 0.5
+REJECT = 0.4
+BEGINNINGS = (4, 5, 6, 7)  # bytes of a word's beginning
+CERTAIN = 3.0  # deviations by which a feature's log-odds must differ from 0 to be in the model
+OFTEN = (3, 6)  # a beginning that occurs so often in a text is a feature of its own
+_WORD = b"[" + b"".join(re.escape(bytes([i])) for i in range(256) if ALNUM[i]) + b"]"
+CUTS = {size: re.compile(b"(" + _WORD + b"{%d})" % size + _WORD + b"+") for size in BEGINNINGS}
+
+
+def text_features(texts: list[bytes]) -> list[np.ndarray]:
+    """For each text, hashes of its distinct words, and of the beginnings of words by how often they occur."""
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    for size in (0, *BEGINNINGS):
+        words, bounds = hash_texts([CUTS[size].sub(rb"\1", x.lower()) for x in texts] if size else texts, ALNUM)
+        for i, held in enumerate(out):
+            names, counts = np.unique(words[bounds[i] : bounds[i + 1]], return_counts=True)
+            held.append(mix(names, 10 * size))
+            held += [mix(names[counts >= least], 10 * size + least) for least in OFTEN if size]
+    return [np.unique(np.concatenate(held)) for held in out]
 
 
 def features(text: bytes) -> np.ndarray:
-    """Hashes of the distinct words of a text."""
-    return np.unique(hash_words(text.lower(), ALNUM)[1])
+    return text_features([text])[0]
 
 
 @dataclass
@@ -44,16 +61,23 @@ class Model:
         return sigmoid(margin[:, None] - self.thresholds[None, :])
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = 300, penalty: float = 0.02) -> Model:
+def log_odds(design: Design, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of class 1 for each feature, and the same in standard deviations."""
+    size, toxic = len(design.known), labels[design.row_of] == 1
+    hits = np.bincount(design.columns[toxic], minlength=size) + 0.1
+    misses = np.bincount(design.columns[~toxic], minlength=size) + 0.1
+    odds = np.log(hits / max(1, (labels == 1).sum())) - np.log(misses / max(1, (labels == 0).sum()))
+    return odds, odds / np.sqrt(1 / (hits + 1) + 1 / (misses + 1))
+
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = 300, penalty: float = 0.1) -> Model:
     """Weights and thresholds by likelihood, from feature rows and 0/1 labels."""
     if len(set(labels.tolist())) < 2:
         return Model(np.empty(0, np.uint64), np.empty(0), np.full(GRADES - 1, np.inf))
     design = Design.of(rows, least=3)
-    size, n, row_of = len(design.known), len(rows), design.row_of
-    toxic = labels[row_of] == 1
-    hits = np.bincount(design.columns[toxic], minlength=size) + 0.5
-    misses = np.bincount(design.columns[~toxic], minlength=size) + 0.5
-    odds = np.log(hits / max(1, (labels == 1).sum())) - np.log(misses / max(1, (labels == 0).sum()))
+    odds, certain = log_odds(design, labels)
+    design = design.reduced(np.abs(certain) >= CERTAIN)
+    odds, size, n, row_of = odds[np.abs(certain) >= CERTAIN], len(design.known), len(rows), design.row_of
     telling = np.bincount(row_of, (odds >= TELLING)[design.columns], minlength=n)
     grade = np.where(labels == 1, 1 + (telling >= 2) + (telling >= 4), 0)
     parameters = np.concatenate([np.zeros(size), [0.5], np.log(np.ones(GRADES - 2))])
@@ -87,8 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, identifier: str = "doc_id", text:
 def margins(texts: list[bytes], model: Model) -> np.ndarray:
     out = []
     for a, b in chunks(texts):
-        words, bounds = hash_texts(texts[a:b], ALNUM)
-        out += [model.weights[lookup(model.known, np.unique(words[bounds[i] : bounds[i + 1]]))].sum() for i in range(b - a)]
+        out += [model.weights[lookup(model.known, x)].sum() for x in text_features(texts[a:b])]
     return np.array(out, float)
 
 
