@@ -58,7 +58,7 @@ class Model:
 
     def above(self, margin: np.ndarray) -> np.ndarray:
         """P(grade > k) for k = 0..GRADES-2, one row for each margin."""
-        return sigmoid(margin[:, None] - self.thresholds[None, :])
+        return np.where(np.isinf(self.thresholds), 0.0, sigmoid(margin[:, None] - self.thresholds[None, :]))
 
 
 def log_odds(design: Design, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
