@@ -9,21 +9,17 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-HOT_KEYS = 1000  # keys treated as hot at most; any other key holds under 1/HOT_KEYS of the rows
 SLICE_ROWS = 1_000_000  # rows of one key that a single task takes without trouble
 
 
-def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS, limit: int = HOT_KEYS) -> DataFrame:
-    """(key, fan): the keys with more than ``slice_rows`` rows and the slices each needs.
+def hot_keys(df: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(key, fan): every key with more than ``slice_rows`` rows and the slices it needs.
 
-    At most ``limit`` rows, hence safe to broadcast: the largest keys come first, and a
-    key left out is smaller than ``limit`` others. Lazy, so the slicing adapts to the data.
+    There are fewer than rows / ``slice_rows`` such keys, a millionth of the table by default,
+    hence safe to broadcast. Lazy, so the slicing adapts to the data.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > slice_rows)
-    return (
-        counts.orderBy(F.desc("_rows")).limit(limit)
-        .select(key, F.ceil(F.col("_rows") / slice_rows).cast("int").alias("fan"))
-    )
+    return counts.select(key, F.ceil(F.col("_rows") / slice_rows).cast("int").alias("fan"))
 
 
 def slice_rows(big: DataFrame, key: str, hot: DataFrame, spread_by: Sequence[str]) -> DataFrame:

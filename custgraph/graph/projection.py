@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import HOT_KEYS, SLICE_ROWS, copy_rows, global_rank, slice_rows
+from ..functions.skew import SLICE_ROWS, copy_rows, global_rank, slice_rows
 from ..session import keep
 
 
@@ -87,7 +87,7 @@ class Adjacency:
 
     def __init__(self, edges: DataFrame, per_slice: int = SLICE_ROWS) -> None:
         self.degree = keep(edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree")))
-        large = self.degree.filter(F.col("degree") > per_slice).orderBy(F.desc("degree")).limit(HOT_KEYS)
+        large = self.degree.filter(F.col("degree") > per_slice)
         self.hot = keep(
             large.select(F.col("id").alias("key"), F.ceil(F.col("degree") / per_slice).cast("int").alias("fan"))
         )

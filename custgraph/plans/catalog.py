@@ -617,10 +617,11 @@ def analysis_contexts(p: Portfolio) -> DataFrame:
 
 @query
 def analysis_excerpts(p: Portfolio) -> DataFrame:
-    """Conversation turns found for the five analysis texts by the built-in embedder."""
+    """Conversation turns found for the words of the five analysis names by the built-in embedder."""
     chunks = p.conversation_chunks()
     model = retrieval.fit_hash_embedder(chunks)
-    hits = retrieval.vector_topk(retrieval.hash_embeddings(chunks, model), retrieval.embed_queries(p.spark, model))
+    texts = {name: name.replace("_", " ") for name in retrieval.ANALYSIS_SECTIONS}
+    hits = retrieval.vector_topk(retrieval.hash_embeddings(chunks, model), retrieval.embed_queries(p.spark, model, texts))
     describes = documents.describes_edges(p.document(), p.customer())
     found = retrieval.graph_aware_hits(hits, chunks, p.document(), describes, p.customer())
     return retrieval.excerpt_lines(found)
@@ -638,7 +639,7 @@ def explode_embedding(p: Portfolio) -> DataFrame:
 @query
 def embedding_from_json(p: Portfolio) -> DataFrame:
     text = p.vector_chunks().select(F.col("chunk_id").alias("vec_id"), F.to_json("embedding").alias("embedding"))
-    wide = explode_vector(text, "embedding", 8, "fastrp_")
+    wide = explode_vector(text, "embedding", 64, "fastrp_")
     return rounded(wide, 5, *[c for c in wide.columns if c != "vec_id"])
 
 

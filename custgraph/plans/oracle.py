@@ -396,6 +396,21 @@ piece AS (SELECT {id}, i AS "index", i * ({size} - {overlap}) AS start,
   FROM {table} WHERE text <> ''))"""
 SQL["chunk_fixed"] = _with(_CHUNKS.format(id="doc_id", size=4000, overlap=200, table="documents"),
                            """SELECT doc_id, CAST("index" AS INTEGER) AS "index", CAST(start AS INTEGER) AS start, text FROM piece WHERE length(text) >= 50""")
+# Runs of at most 3,800 characters, each with up to 200 characters of the run before it.
+SQL["chunk_recursive"] = r"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, -1 AS piece, '' AS part, '' AS before, text AS rest, length(text) <= 4000 AS whole FROM documents WHERE text <> ''
+  UNION ALL
+  SELECT doc_id, piece + 1, substr(rest, 1, cut), part, substr(rest, cut + 1), whole FROM (
+    SELECT *, CASE WHEN whole OR length(rest) <= 3800 THEN length(rest)
+      WHEN blank > 0 THEN blank WHEN line > 0 THEN line WHEN word > 0 THEN word ELSE 3800 END AS cut FROM (
+      SELECT *, length(regexp_extract(substr(rest, 1, 3800), '(?s)^.*\n\n')) AS blank,
+        length(regexp_extract(substr(rest, 1, 3800), '(?s)^.*\n')) AS line,
+        length(regexp_extract(substr(rest, 1, 3800), '(?s)^.* ')) AS word FROM run WHERE rest <> ''))
+), chunk AS (
+  SELECT doc_id, piece, regexp_replace(regexp_replace(right(before, 200), '^[^ \n]*[ \n]', '') || part, '^\s+|\s+$', '', 'g') AS text
+  FROM run WHERE piece >= 0)
+SELECT doc_id, CAST(piece AS INTEGER) AS piece, CAST(length(text) AS INTEGER) AS chars, md5(text) AS digest FROM chunk WHERE length(text) >= 50"""
 SQL["chunk_records"] = _with(
     DOCUMENT + "," + _CHUNKS.format(id="document_id", size=1000, overlap=100, table="doc_v"),
     """SELECT md5(p.document_id || ':' || "index") AS chunk_id, p.document_id, CAST("index" AS INTEGER) AS "index",
@@ -465,7 +480,7 @@ SQL["explode_embedding"] = "SELECT vec_id, " + ", ".join(
     f"round(embedding[{i + 1}]::DOUBLE, 6) AS fastrp_{i}" for i in range(64)
 ) + " FROM embeddings"
 SQL["embedding_from_json"] = "SELECT vec_id, " + ", ".join(
-    f"round(embedding[{i + 1}]::DOUBLE, 5) AS fastrp_{i}" for i in range(8)
+    f"round(embedding[{i + 1}]::DOUBLE, 5) AS fastrp_{i}" for i in range(64)
 ) + " FROM embeddings"
 
 # ------------------------------------------------------------------ graph

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
-PYTHON_ALLOWED = {"chunk_recursive"}
+PYTHON_ALLOWED: set[str] = set()
 RELATIONAL = (
     "sector_exposure", "portfolio_holdings", "portfolio_context", "account_summary", "structuring_accounts", "flow_rings",
     "coordinated_positions", "suspicious_communities", "proposal_dedup", "enrichment_upsert", "upsert_edges", "writeback_plan",
