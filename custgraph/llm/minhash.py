@@ -7,7 +7,8 @@ that each register matches with the probability of the Jaccard similarity whatev
 
 Equal sets are one node from the start, so copies cost nothing more. Nodes that agree on a band of
 ``BAND`` registers meet in a group. In two rounds each node of a group is compared with one leader,
-and what remains are the pairs of a group that still lie in different components, all of them. A pair
+another one in each group, so a family of texts that meets in many bands joins up by many leaders;
+what remains are the pairs of a group that still lie in different components, all of them. A pair
 whose sizes allow the similarity and whose estimate, corrected for chance matches of registers,
 is within six deviations of it is confirmed on the full sets, read again from the texts.
 
@@ -32,7 +33,7 @@ from .words import byte_texts, chunks, hash_texts, mix
 REGISTERS, MANTISSA, BAND = 128, 10, 4
 BANDS = REGISTERS // BAND
 _REST = 57  # bits of a hash below those that choose the bucket
-LEADERS = (0x2545F4914F6CDD1D, 0x6A09E667F3BCC908)  # leader of a round: the node least under this exclusive or
+LEADERS = (1, 2)  # seeds of the rounds with leaders; a group's leader is its least node in a random order of its own
 _ORDER = np.argsort(np.random.default_rng(7).random((REGISTERS, REGISTERS)), axis=1)
 
 
@@ -188,8 +189,9 @@ def near_duplicates(
         else:
             here = cut_lineage(here)
             spent.append(here)
-            leader = here.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(F.lit(turn))).alias("x"))
-            leader = leader.select("band", F.col("x").bitwiseXOR(F.lit(turn)).alias("leader"))
+            order = F.xxhash64("band", F.lit(turn))  # families that share many bands get many leaders
+            leader = here.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(order)).alias("x"))
+            leader = leader.select("band", F.col("x").bitwiseXOR(order).alias("leader"))
             chief = here.select(F.col("node").alias("leader"), F.col("component").alias("apart")).distinct()
             met = (
                 here.join(leader.join(chief, "leader"), "band").where("component <> apart")
