@@ -11,8 +11,9 @@ training texts into its trie, then answers all pairs of all texts by successor s
 sum for each text of a chunk. A word's count as a context is its unigram count, so the same answer
 gives the base score. Only unseen pairs ask for their second word, in a join with the counts.
 
-Words that would fill a shard are split by their successors; a part backs off on its own types, times
-the number of parts. Counts of all texts are used; nothing is pruned, so the model grows with the corpus.
+Words that would fill a fair part of a shard are split by their successors. Their pairs are counted before,
+so each part knows the word's total and types, whether or not it holds the word.
+Counts of all texts are used; nothing is pruned, so the model grows with the corpus.
 
 Defined results: a null or empty text is its end token alone; rows equal in id and text have equal
 scores; an empty training set leaves the unigram 1 / (N + V + 1); other columns are not read.
@@ -69,10 +70,38 @@ class EliasFano:
         return at, held[np.minimum(at, self.n - 1)] == wanted
 
 
+def _steps(logs: np.ndarray) -> np.ndarray:
+    return np.minimum(np.round(-logs / STEP), 65535).astype(np.uint16)
+
+
+def _backoff(types: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Steps of the back-off weight, 0 where training does not hold the context."""
+    share = np.minimum(DISCOUNT * np.maximum(types, 1) / np.maximum(total, 1), 1.0)
+    return _steps(np.log10(np.where(total > 0, share, 1.0)))
+
+
+class Hot:
+    """Split contexts (word, training count, training types, parts)."""
+
+    def __init__(self, words: list[tuple[int, int, int, int]]):
+        words = sorted(words)
+        self.names = np.array([w[0] for w in words], np.uint64)
+        self.total, self.types, self.parts = (np.array([w[i] for w in words], np.int64) for i in (1, 2, 3))
+        self.backoff = _backoff(self.types, self.total)
+
+    def contexts(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each context, and whether it is a split one."""
+        if not len(self.names):
+            return np.zeros(len(first), np.int64), np.zeros(len(first), bool)
+        at = np.minimum(np.searchsorted(self.names, first), len(self.names) - 1)
+        return at, self.names[at] == first
+
+
 class Trie:
     """Contexts, their successors and quantised probabilities, from training pairs of one shard."""
 
-    def __init__(self, first: np.ndarray, second: np.ndarray, totals: dict[int, tuple[int, int]]):
+    def __init__(self, first: np.ndarray, second: np.ndarray, hot: Hot):
+        self.hot = hot
         order = np.lexsort((second, first))
         first, second = first[order], second[order]
         new = np.ones(len(first), bool)
@@ -86,20 +115,15 @@ class Trie:
         self.pointers = EliasFano(np.append(begins, len(first)).astype(np.uint64))
         types = (ends - begins).astype(float)
         total = np.add.reduceat(counts, begins).astype(float) if len(begins) else np.empty(0)
-        for i in np.flatnonzero(np.isin(names, np.array(list(totals), np.uint64))).tolist():
-            total[i], parts = totals[int(names[i])]
-            types[i] *= parts
+        at, split = hot.contexts(names)
+        total[split], types[split] = hot.total[at[split]], hot.types[at[split]]
         self.totals = total.astype(np.int64)
         owner = np.repeat(np.arange(len(names)), ends - begins).astype(np.uint64)
         # A successor's key is its context's place, then the top bits of its hash.
         self.width = 62 - max(1, len(names)).bit_length()
         self.successors = EliasFano((owner << np.uint64(self.width)) | (second >> np.uint64(64 - self.width)))
-        self.seen = self._steps(np.log10((counts - DISCOUNT) / np.repeat(total, ends - begins)))
-        self.backoff = self._steps(np.log10(np.minimum(DISCOUNT * types / np.maximum(total, 1), 1.0)))
-
-    @staticmethod
-    def _steps(logs: np.ndarray) -> np.ndarray:
-        return np.minimum(np.round(-logs / STEP), 65535).astype(np.uint16)
+        self.seen = _steps(np.log10((counts - DISCOUNT) / np.repeat(total, ends - begins)))
+        self.backoff = _backoff(types, total)
 
     def ask(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(count of the context, log10 of the pair or of its back-off, whether the pair is seen)."""
@@ -112,6 +136,10 @@ class Trie:
             at, found = self.successors.successor(key)
             seen = known & found
             logs = -STEP * np.where(seen, self.seen[np.where(seen, at, 0)].astype(float), np.where(known, self.backoff[place].astype(float), 0.0))
+        at, split = self.hot.contexts(first)
+        count[split] = self.hot.total[at[split]]
+        at, away = at[split & ~seen], split & ~seen
+        logs[away] = -STEP * self.hot.backoff[at]
         return count, logs, seen
 
 
@@ -141,27 +169,52 @@ def _counts(docs: DataFrame) -> DataFrame:
     return made.groupBy("word").agg(F.sum("count").alias("count"), F.sum("every").alias("every"))
 
 
-def _packed(docs: DataFrame, shards: int, hot: dict[int, tuple[int, int]]) -> DataFrame:
+def _pairs(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, second, pairs of each text) of all texts of a chunk."""
+    sizes = np.diff(bounds) + 1
+    ends = np.cumsum(sizes)
+    second = np.empty(int(ends[-1]), np.uint64)
+    inside = np.ones(len(second), bool)
+    inside[ends - 1] = False
+    second[inside], second[~inside] = words, END
+    first = np.concatenate([[START], second[:-1]]).astype(np.uint64)
+    first[ends - sizes] = START
+    return first, second, sizes
+
+
+def _pair_counts(docs: DataFrame, hot: Hot) -> DataFrame:
+    """(first, second, count, every): occurrences of the pairs of split contexts in training texts and in all texts."""
+
+    def work(batches):
+        for _, train, words, bounds in _chunks(batches):
+            first, second, sizes = _pairs(words, bounds)
+            at, split = hot.contexts(first)
+            marks = np.repeat(train, sizes)[split]
+            at, second = at[split], second[split]
+            order = np.lexsort((second, at))
+            at, second, marks = at[order], second[order], marks[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (at[1:] != at[:-1]) | (second[1:] != second[:-1])
+            begins = np.flatnonzero(new)
+            known = np.add.reduceat(marks.astype(np.int64), begins) if len(begins) else np.empty(0, np.int64)
+            every = np.diff(np.append(begins, len(at)))
+            arrays = hot.names[at[begins]].view(np.int64), second[begins].view(np.int64), known, every
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], names=["first", "second", "count", "every"])
+
+    made = docs.mapInArrow(work, "first long, second long, count long, every long")
+    return made.groupBy("first", "second").agg(F.sum("count").alias("count"), F.sum("every").alias("every"))
+
+
+def _packed(docs: DataFrame, shards: int, hot: Hot) -> DataFrame:
     """(shard, pairs): compressed (rows, marks, row of each pair, words, first, second) of each chunk and shard."""
-    names = np.array(sorted(hot), np.uint64)
-    parts = np.array([hot[int(x)][1] for x in names], np.uint64)
 
     def work(batches):
         for rows, train, words, bounds in _chunks(batches):
-            sizes = np.diff(bounds) + 1
-            ends = np.cumsum(sizes)
-            second = np.empty(int(ends[-1]), np.uint64)
-            inside = np.ones(len(second), bool)
-            inside[ends - 1] = False
-            second[inside], second[~inside] = words, END
-            first = np.concatenate([[START], second[:-1]]).astype(np.uint64)
-            first[ends - sizes] = START
+            first, second, sizes = _pairs(words, bounds)
             row = np.repeat(np.arange(len(rows), dtype=np.uint32), sizes)
             part = np.zeros(len(first), np.uint64)
-            if len(names):
-                at = np.minimum(np.searchsorted(names, first), len(names) - 1)
-                split = names[at] == first
-                part[split] = mix(second[split], 7) % parts[at[split]]
+            at, split = hot.contexts(first)
+            part[split] = mix(second[split], 7) % hot.parts[at[split]].astype(np.uint64)
             shard = (mix(first + part * np.uint64(0x9E3779B97F4A7C15), 8) % np.uint64(shards)).astype(np.int64)
             order = np.lexsort((second, first, shard))
             shard, first, second, row = shard[order], first[order], second[order], row[order]
@@ -197,7 +250,7 @@ def _unpack(blob: bytes) -> list[np.ndarray]:
     return [rows, train.astype(bool), name, vocabulary[np.cumsum(first, dtype=np.uint32)], vocabulary[second]]
 
 
-def _answers(packed: DataFrame, hot: dict[int, tuple[int, int]]) -> DataFrame:
+def _answers(packed: DataFrame, hot: Hot) -> DataFrame:
     """(row, word, times, known, base, logs): sums for each row of a shard and chunk, word null; and,
     with these null, the second words of unseen pairs and how often they occur."""
 
@@ -259,9 +312,16 @@ def score(docs: DataFrame, identifier: str = "doc_id", text: str = "text") -> Da
     shards = max(1, -(-pairs // SHARD))
     # Words that fill a fair part of a shard: at most 4 * pairs / SHARD of them.
     heavy = counts.where((F.col("every") > SHARD // 4) & (F.col("word") != end)).select("word", "count", "every").collect()
-    hot = {int(np.int64(r["word"]).view(np.uint64)): (r["count"], -(-4 * r["every"] // SHARD)) for r in heavy}
+    split = {r["word"]: (r["count"], -(-4 * r["every"] // SHARD)) for r in heavy}
     if 4 * documents > SHARD:
-        hot[int(START)] = (c_end, -(-4 * documents // SHARD))
+        split[int(START.view(np.int64))] = (c_end, -(-4 * documents // SHARD))
+    unsigned = lambda x: int(np.int64(x).view(np.uint64))
+    hot = Hot([(unsigned(w), count, 0, parts) for w, (count, parts) in split.items()])
+    if split:
+        followed = cut_lineage(_pair_counts(read, hot))
+        types = dict(followed.where("count > 0").groupBy("first").count().collect())
+        hot = Hot([(unsigned(w), count, types.get(w, 0), parts) for w, (count, parts) in split.items()])
+        forget(followed)
     packed = _packed(read, shards, hot).repartition(shards, "shard").sortWithinPartitions("shard")
     answers = cut_lineage(_answers(packed, hot))
     log_all = float(np.log10(n + v + 1))

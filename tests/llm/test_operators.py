@@ -215,6 +215,34 @@ def test_language_model(docs, empty):
     assert language_model.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("shard", [40, 4000])
+def test_language_model_of_split_words(spark, monkeypatch, shard):
+    """Words and pairs above a fair part of a shard: few and many training successors, unseen ones, more parts than shards."""
+    monkeypatch.setattr(language_model, "SHARD", shard)
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in range(140)}
+    texts = [(i, f"hot new{i} hot twin hot" if held[i] else " ".join(["hot line"] * 9 + [f"rare{i % 4} common w{i} common twin"])) for i in range(140)]
+    rows = {i: t.split() + ["</s>"] for i, t in texts}
+    count, pairs, total, types = Counter(), Counter(), Counter(), Counter()
+    for i, t in texts:
+        if not held[i]:
+            count.update(rows[i])
+            pairs.update(zip(["<s>", *rows[i]], rows[i]))
+    for (x, _), n in pairs.items():
+        total[x] += n
+        types[x] += 1
+    n, v = sum(count.values()), len(count)
+    one = lambda x: math.log10((count[x] + 1) / (n + v + 1))
+    got = {r["doc_id"]: r for r in language_model.score(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)).collect()}
+    assert len(got) == len(texts)
+    for i, w in rows.items():
+        s = 0.0
+        for x, y in zip(["<s>", *w], w):
+            s += math.log10((pairs[x, y] - 0.75) / total[x]) if pairs[x, y] else one(y) + (min(0, math.log10(0.75 * types[x] / total[x])) if total[x] else 0)
+        assert got[i]["n_known"] == sum(count[x] > 0 for x in w)
+        assert math.isclose(got[i]["base_score"], sum(map(one, w)), rel_tol=1e-9)
+        assert math.isclose(got[i]["score"], s, rel_tol=2e-3, abs_tol=1e-3)
+
+
 def test_elias_fano():
     dice = np.random.default_rng(1)
     for values in (dice.integers(0, 1 << 62, 500), np.arange(100), np.array([0, 0, 5, 5, 9]), np.array([7])):
