@@ -12,7 +12,8 @@ sum for each text of a chunk. A word's count as a context is its unigram count,
 gives the base score. Only unseen pairs ask for their second word, in a join with the counts.
 
 Words that would fill a fair part of a shard are split by their successors. Their pairs are counted before,
-so each part knows the word's total and types, whether or not it holds the word.
+so each part knows the word's total and types, whether or not it holds the word. Pairs that would fill a
+part by themselves are dealt by chunk and answered from those counts.
 Counts of all texts are used; nothing is pruned, so the model grows with the corpus.
 
 Defined results: a null or empty text is its end token alone; rows equal in id and text have equal
@@ -81,13 +82,25 @@ def _backoff(types: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 class Hot:
-    """Split contexts (word, training count, training types, parts)."""
+    """Split contexts (word, training count, training types, parts) and pairs dealt by chunk (first, second, training count)."""
 
-    def __init__(self, words: list[tuple[int, int, int, int]]):
+    def __init__(self, words: list[tuple[int, int, int, int]], pairs: list[tuple[int, int, int]]):
         words = sorted(words)
         self.names = np.array([w[0] for w in words], np.uint64)
         self.total, self.types, self.parts = (np.array([w[i] for w in words], np.int64) for i in (1, 2, 3))
         self.backoff = _backoff(self.types, self.total)
+        first, second = (np.array([x[i] for x in pairs], np.uint64) for i in (0, 1))
+        order = np.argsort(self._key(first, second))
+        self.first, self.second = first[order], second[order]
+        self.keys = self._key(self.first, self.second)
+        count = np.array([x[2] for x in pairs], np.int64)[order]
+        total = self.total[self.contexts(self.first)[0]] if len(pairs) else count
+        self.seen = count > 0
+        self.steps = _steps(np.log10(np.where(self.seen, (count - DISCOUNT) / np.maximum(total, 1), 1.0)))
+
+    @staticmethod
+    def _key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return mix(first, 9) ^ second
 
     def contexts(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each context, and whether it is a split one."""
@@ -96,12 +109,21 @@ class Hot:
         at = np.minimum(np.searchsorted(self.names, first), len(self.names) - 1)
         return at, self.names[at] == first
 
+    def pairs(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each pair, and whether it is dealt by chunk."""
+        if not len(self.keys):
+            return np.zeros(len(first), np.int64), np.zeros(len(first), bool)
+        at = np.minimum(np.searchsorted(self.keys, self._key(first, second)), len(self.keys) - 1)
+        return at, (self.first[at] == first) & (self.second[at] == second)
+
 
 class Trie:
     """Contexts, their successors and quantised probabilities, from training pairs of one shard."""
 
     def __init__(self, first: np.ndarray, second: np.ndarray, hot: Hot):
         self.hot = hot
+        dealt = hot.pairs(first, second)[1]
+        first, second = first[~dealt], second[~dealt]
         order = np.lexsort((second, first))
         first, second = first[order], second[order]
         new = np.ones(len(first), bool)
@@ -140,6 +162,10 @@ class Trie:
         count[split] = self.hot.total[at[split]]
         at, away = at[split & ~seen], split & ~seen
         logs[away] = -STEP * self.hot.backoff[at]
+        at, dealt = self.hot.pairs(first, second)
+        dealt &= self.hot.seen[at] if len(self.hot.seen) else False
+        seen |= dealt
+        logs[dealt] = -STEP * self.hot.steps[at[dealt]]
         return count, logs, seen
 
 
@@ -215,6 +241,8 @@ def _packed(docs: DataFrame, shards: int, hot: Hot) -> DataFrame:
             part = np.zeros(len(first), np.uint64)
             at, split = hot.contexts(first)
             part[split] = mix(second[split], 7) % hot.parts[at[split]].astype(np.uint64)
+            at, dealt = hot.pairs(first, second)
+            part[dealt] = mix(hot.keys[at[dealt]] + np.uint64(rows[0] & 0x7FFFFFFFFFFFFFFF), 10)
             shard = (mix(first + part * np.uint64(0x9E3779B97F4A7C15), 8) % np.uint64(shards)).astype(np.int64)
             order = np.lexsort((second, first, shard))
             shard, first, second, row = shard[order], first[order], second[order], row[order]
@@ -310,17 +338,21 @@ def score(docs: DataFrame, identifier: str = "doc_id", text: str = "text") -> Da
     ends = counts.where(F.col("word") == end).select("count", "every").first()
     c_end, documents = (ends["count"], ends["every"]) if ends else (0, 0)
     shards = max(1, -(-pairs // SHARD))
-    # Words that fill a fair part of a shard: at most 4 * pairs / SHARD of them.
+    # Words that fill a fair part of a shard, and pairs that do: at most 4 * pairs / SHARD of each.
     heavy = counts.where((F.col("every") > SHARD // 4) & (F.col("word") != end)).select("word", "count", "every").collect()
     split = {r["word"]: (r["count"], -(-4 * r["every"] // SHARD)) for r in heavy}
     if 4 * documents > SHARD:
         split[int(START.view(np.int64))] = (c_end, -(-4 * documents // SHARD))
     unsigned = lambda x: int(np.int64(x).view(np.uint64))
-    hot = Hot([(unsigned(w), count, 0, parts) for w, (count, parts) in split.items()])
+    hot = Hot([(unsigned(w), count, 0, parts) for w, (count, parts) in split.items()], [])
     if split:
         followed = cut_lineage(_pair_counts(read, hot))
         types = dict(followed.where("count > 0").groupBy("first").count().collect())
-        hot = Hot([(unsigned(w), count, types.get(w, 0), parts) for w, (count, parts) in split.items()])
+        dealt = followed.where(F.col("every") > SHARD // 4).select("first", "second", "count").collect()
+        hot = Hot(
+            [(unsigned(w), count, types.get(w, 0), parts) for w, (count, parts) in split.items()],
+            [(unsigned(r["first"]), unsigned(r["second"]), r["count"]) for r in dealt],
+        )
         forget(followed)
     packed = _packed(read, shards, hot).repartition(shards, "shard").sortWithinPartitions("shard")
     answers = cut_lineage(_answers(packed, hot))

@@ -243,6 +243,24 @@ def test_language_model_of_split_words(spark, monkeypatch, shard):
         assert math.isclose(got[i]["score"], s, rel_tol=2e-3, abs_tol=1e-3)
 
 
+def test_no_shard_holds_a_pair_of_a_fixed_share(spark):
+    """Occurrences of a dealt pair lie in many shards, and its count is known in each."""
+    x, y = np.array([5], np.uint64), np.array([9], np.uint64)
+    hot = language_model.Hot([(5, 100, 2, 3)], [(5, 9, 99)])
+    tries = [language_model.Trie(np.repeat(x, k), np.repeat(y, k), hot) for k in (0, 1, 40)]
+    asked = [[z.tolist() for z in t.ask(np.append(x, x), np.append(y, x))] for t in tries]
+    assert asked[0] == asked[1] == asked[2]
+    assert asked[0][0] == [100, 100] and asked[0][2] == [True, False]
+    texts = spark.createDataFrame([(i, True, " ".join(["a b"] * 50)) for i in range(64)], "row long, train boolean, text string")
+    a, b = (language_model.hash_texts([w])[0].item() for w in (b"a", b"b"))
+    hot = language_model.Hot([(a, 3200, 1, 4)], [(a, b, 3200)])
+    held = Counter()
+    for r in language_model._packed(texts.repartition(64), 50, hot).collect():
+        first, second = language_model._unpack(r["pairs"])[3:]
+        held[r["shard"]] += int(((first == a) & (second == b)).sum())
+    assert sum(held.values()) == 3200 and sum(n > 0 for n in held.values()) > 10
+
+
 def test_elias_fano():
     dice = np.random.default_rng(1)
     for values in (dice.integers(0, 1 << 62, 500), np.arange(100), np.array([0, 0, 5, 5, 9]), np.array([7])):
