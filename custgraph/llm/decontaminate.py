@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .minhash import row_key
 from .words import ALNUM, byte_texts, chunks, hash_texts, hash_words, mix
 
 WALKS, TABLES, BITS = 8, 8, 2
@@ -224,6 +225,7 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, identifier: str = "doc_id",
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, identifier: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that no item contaminates, all columns kept."""
-    found = hits(docs, benchmark, identifier, text, **options).select(F.col("id").alias("_gone")).distinct()
-    return docs.join(found, F.col(identifier).eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that no item contaminates, all columns kept; decided by row, whatever other rows share its id."""
+    keyed = docs.withColumn("_row", row_key(identifier, text))
+    found = hits(keyed, benchmark, "_row", text, **options).select(F.col("id").alias("_gone")).distinct()
+    return keyed.join(found, F.col("_row").eqNullSafe(F.col("_gone")), "left_anti").drop("_row")

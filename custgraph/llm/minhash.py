@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, forget
@@ -223,8 +223,19 @@ def near_duplicates(
     return result.withColumn("kept", F.col(identifier).eqNullSafe(F.col("component_id")))
 
 
+def row_key(identifier: str, text: str) -> Column:
+    """Names rows equal in id and text; ordered by id, null ids last."""
+    return F.struct(
+        F.col(identifier).isNull().alias("unnamed"), F.col(identifier).alias("id"), F.coalesce(F.md5(F.col(text)), F.lit("")).alias("text")
+    )
+
+
 def deduplicated(docs: DataFrame, words: int = 5, least: int = 80, identifier: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: one of each group, all columns kept; of rows equal in id and text, one."""
-    verdict = near_duplicates(docs, words, least, identifier, text)
-    gone = verdict.where("not kept").select(F.col(identifier).alias("_gone")).distinct()
-    return docs.join(gone, F.col(identifier).eqNullSafe(F.col("_gone")), "left_anti").dropDuplicates([identifier, text])
+    """The rows of ``docs`` that stay: one of each group, all columns kept; of rows equal in id and text, one.
+
+    Decided by row: null and repeated ids name no group."""
+    keyed = docs.withColumn("_row", row_key(identifier, text))
+    verdict = near_duplicates(keyed, words, least, "_row", text)
+    gone = verdict.where("not kept").select(F.col("_row").alias("_gone")).distinct()
+    stay = keyed.join(gone, F.col("_row").eqNullSafe(F.col("_gone")), "left_anti")
+    return stay.drop("_row").dropDuplicates([identifier, text])

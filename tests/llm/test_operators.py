@@ -281,6 +281,21 @@ def test_mix_fits_its_targets(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_rows_stay_or_go_by_row(spark):
+    """Null and repeated ids: each group leaves one row, and unlike rows under the same id stay."""
+    other, third = " ".join(f"o{i}" for i in range(40)), " ".join(f"p{i}" for i in range(40))
+    rows = [(1, changed()), (None, changed(0)), (None, None), (None, ""), (None, other), (None, other + " end"),
+            (2, changed(59)), (2, third), (3, third + " end"), (3, third), (3, "short")]
+    docs = spark.createDataFrame([(*r, "a") for r in rows], "doc_id long, text string, source string").repartition(3)
+    stay = Counter((r["doc_id"], r["text"]) for r in minhash.deduplicated(docs, words=5).collect())
+    others = [(None, other), (None, other + " end")]
+    assert sum(stay[x] for x in others) == 1
+    assert stay - Counter(others) == Counter([(1, changed()), (None, None), (None, ""), (2, third), (3, "short")])
+    bench = spark.createDataFrame([(7, other)], "item_id long, text string")
+    stay = Counter((r["doc_id"], r["text"]) for r in decontaminate.clean(docs.unionByName(docs), bench).collect())
+    assert stay == Counter(2 * [r for r in rows if r not in others])
+
+
 def edit_distance(item, text):
     row = [0] * (len(text) + 1)
     for i, x in enumerate(item, 1):
