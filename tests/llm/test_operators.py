@@ -281,6 +281,21 @@ def test_mix_fits_its_targets(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mix_fills_the_gap_of_a_long_document(spark, monkeypatch):
+    """What a long document at the boundary leaves open is filled from all later slices."""
+    monkeypatch.setattr(mixing, "SLICE_DOCUMENTS", 10)
+    texts = [(i, "w " * (2000 if i % 40 == 0 else 20 + i % 3), "a") for i in range(200)]
+    texts += [(i, "v " * 40, "b") for i in range(200)] + [(7, "u " * n, None) for n in range(1, 40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(4)
+    for seed in range(3):
+        rows = mixing.mix(docs, weights=(1, 2), seed=seed).collect()
+        assert Counter(rows) == Counter(mixing.mix(docs.repartition(2), weights=(1, 2), seed=seed).collect())
+        for source, most in (("a", 44), ("b", 40), (None, 39)):
+            mine = [r for r in rows if r["source"] == source]
+            assert len(mine) == sum(t[2] == source for t in texts)
+            assert 0 <= mine[0]["target"] - sum(r["taken"] for r in mine) + 1e-6 < most
+
+
 def test_rows_stay_or_go_by_row(spark):
     """Null and repeated ids: each group leaves one row, and unlike rows under the same id stay."""
     other, third = " ".join(f"o{i}" for i in range(40)), " ".join(f"p{i}" for i in range(40))
