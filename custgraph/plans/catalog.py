@@ -778,7 +778,7 @@ def knn(p: Portfolio) -> DataFrame:
 
 # ----------------------------------------------------------------- features, splits, models
 
-SMALL_MODELS = train.Settings(trees=10, boosting_rounds=3, iterations=50, tree_depth=5, max_folds=2)
+MODELS = train.Settings()
 
 
 def _vectors(p: Portfolio) -> DataFrame:
@@ -914,31 +914,31 @@ def pca_features(p: Portfolio) -> DataFrame:
 def train_trials(p: Portfolio) -> DataFrame:
     """Three classifiers on all labeled customers with five principal components."""
     table = keep(_features(p))
-    return train.runs_table(table, "fastrp", train.train_trials(table, pca_components=5, settings=SMALL_MODELS))
+    return train.runs_table(table, "fastrp", train.train_trials(table, pca_components=5, settings=MODELS))
 
 
 @query
 def model_trials(p: Portfolio) -> DataFrame:
     """The trials with a test part set aside, per-class scores and the refit of the best."""
-    table = keep(_features(p, 16))
-    found = train.train_trials(table, pca_components=3, test_size=0.3, settings=SMALL_MODELS)
+    table = keep(_features(p))
+    found = train.train_trials(table, pca_components=3, test_size=0.3, settings=MODELS)
     return train.runs_table(table, "fastrp-test", found)
 
 
 @query
 def tabular_baseline(p: Portfolio) -> DataFrame:
     """The trials without the graph columns."""
-    table = keep(_features(p, 16))
-    found = train.train_trials(table, exclude=features.graph_columns(table), settings=SMALL_MODELS)
+    table = keep(_features(p))
+    found = train.train_trials(table, exclude=features.graph_columns(table), settings=MODELS)
     return train.runs_table(table, "tabular", found)
 
 
 def _forest(p: Portfolio) -> tuple[DataFrame, list[str], object]:
     """A forest on all labeled customers."""
-    table = keep(_features(p, 16))
+    table = keep(_features(p))
     columns = features.feature_columns(table)
     known = split.labeled(train.prepared(table, columns), "risk_category")
-    return table, columns, train.fit_one(known, columns, "RandomForest", None, SMALL_MODELS)
+    return table, columns, train.fit_one(known, columns, "RandomForest", None, MODELS)
 
 
 @query
