@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, embeddings, language_model, licenses, minhash, mixing, quality, secrets, tokens, toxicity
+from . import (
+    collocations, decontaminate, embeddings, language_model, licenses, minhash, mixing, quality, secrets, suffixes, tokens, toxicity, variants,
+)
 from .sql import SQL as SQL
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -62,10 +64,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(_table(spark, sf_dir, "documents"), length=400)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), least=30, covered=80, best=2000)
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"), shortest=6, least=5, times=5, every=199)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-REGISTRY = {f.__name__: f for f in (op1_minhash, op2_token_counts, op3_embeddings, op4_licenses, op5_language_model, op6_mix, op7_decontaminate, op8_secrets, op9_toxicity, op10_quality, pipeline)}
+REGISTRY = {
+    f.__name__: f
+    for f in (
+        op1_minhash, op2_token_counts, op3_embeddings, op4_licenses, op5_language_model, op6_mix, op7_decontaminate, op8_secrets,
+        op9_toxicity, op10_quality, op11_suffix_dedup, op12_collocations, op13_variants, pipeline,
+    )
+}

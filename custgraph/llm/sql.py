@@ -50,4 +50,83 @@ SELECT doc_id, size, source_size, target,
 FROM fills
 """
 
-SQL = {"op6_mix": OP6}
+OP12 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), texts AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM texts GROUP BY lang
+), sized AS (
+    SELECT lang, w, unnest(range(1, 5)) AS k FROM texts
+), placed AS (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized
+), frequent AS (
+    SELECT lang, w[i : i + k - 1] AS p, count(*) AS f FROM placed GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+    SELECT lang, p, f AS a FROM frequent WHERE len(p) > 1
+), cuts AS (
+    SELECT *, unnest(range(1, len(p))) AS cut FROM candidates
+), scored AS (
+    SELECT c.lang, c.p, c.a, cut, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f))::BIGINT AS score
+    FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.p = c.p[1 : cut] JOIN frequent y ON y.lang = c.lang AND y.p = c.p[cut + 1 : len(c.p)]
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+), shorter AS (
+    SELECT lang, p, a, unnest(range(2, len(p))) AS k FROM candidates
+), within AS (
+    SELECT lang, p, a, k, unnest(range(1, len(p) - k + 2)) AS i FROM shorter
+), longer AS (
+    SELECT lang, p[i : i + k - 1] AS p, max(a) AS longest FROM within GROUP BY ALL
+), ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, array_to_string(s.p, ' ')) AS rank
+    FROM lowest s LEFT JOIN longer o ON o.lang = s.lang AND o.p = s.p
+    WHERE o.longest IS NULL OR 100::HUGEINT * o.longest < 80::HUGEINT * s.a
+)
+SELECT lang, rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH RECURSIVE table256 AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)),
+        lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS raw FROM documents
+), counted AS (
+    SELECT doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM runs GROUP BY ALL
+), coded AS (
+    SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h FROM counted
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(1, len(h) // 2 + 1), lambda i: ('0x' || h[2 * i - 1 : 2 * i])::BIGINT)),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) AS h
+    FROM coded, table256
+), made AS (
+    SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % len(run)] || run[h % len(run) + 2 : len(run)] ELSE run END AS word, n FROM hashed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM made WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), places AS (
+    SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM words
+), cuts AS (
+    SELECT word, n, word[1 : i - 1] || word[i + 1 : len(word)] AS less, word[1 : i - 1] || '*' || word[i + 1 : len(word)] AS mask FROM places
+), pairs AS (
+    SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.mask = b.mask AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.less = b.word
+    UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.less = b.word
+), near AS (
+    SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS form, max(n) AS form_n FROM pairs GROUP BY word
+), formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+    FROM words w LEFT JOIN near USING (word)
+), steps AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.root WHERE f.form IS NOT NULL
+), roots AS (
+    SELECT s.word, s.root FROM steps s JOIN formed f ON f.word = s.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
+SQL = {"op6_mix": OP6, "op12_collocations": OP12, "op13_variants": OP13}
