@@ -12,8 +12,10 @@ sequence of names is sorted by recursion unless they are unique, which gives the
 Common prefixes are carried along: two windows with equal symbols share these and what their stars share, the
 least common prefix between the stars' ranks. A window that shares ``length`` bytes with its neighbor is repeated.
 
-An anchor with more than ``HOT`` distinct pieces would fill a shard of its own. Its windows are compared by 128-bit
-fingerprints, each a row, added up before the shuffle: exact as well, only wider.
+An anchor with more than ``HOT`` distinct pieces would fill a shard of its own. Its pieces are cut again, into slices
+of ``SLICE`` windows that stand alike around the anchor; all windows of a slice hold the same ``length - SLICE + 1`` bytes,
+which are the anchor of the slice, and slices go the way of pieces. Where even these have more than ``HOT``
+distinct slices, windows are compared by 128-bit fingerprints. All three ways are exact.
 
 Defined results: null and empty texts have no bytes and lose none; texts shorter than ``length`` lose none;
 rows equal in text are removed alike, each for the other; no rows give no rows; other columns are not read.
@@ -35,6 +37,7 @@ from .words import byte_texts, chunks, mix
 LENGTH, GRAM = 400, 32
 SHARD = 1 << 20  # bytes of pieces sorted together, about
 HOT = 1024  # distinct pieces of an anchor in a shard
+SLICE = 16  # windows of a slice
 SPAN = 1 << 19  # bytes of texts taken at once; a longer text is taken in runs of so many windows
 _PLACE = np.uint64((1 << 20) - 1)
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -45,16 +48,22 @@ def _bytes8(data: bytes) -> np.ndarray:
     return np.ndarray((max(0, len(data) - 7),), "<u8", data, strides=(1,))
 
 
-def _piece_runs(data: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last-but-one window start and anchor of each piece of the joined texts that end at ``ends``."""
-    if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+def _gram_hashes(data: bytes) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes at each place."""
     eight = _bytes8(data)
     grams = len(data) - GRAM + 1
     total = eight[:grams] * _FACTORS[0]
     for i in range(1, GRAM // 8):
         total += eight[8 * i : 8 * i + grams] * _FACTORS[i]
-    hashes = mix(total, 21)
+    return mix(total, 21)
+
+
+def _piece_runs(data: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last-but-one window start and anchor of each piece of the joined texts that end at ``ends``."""
+    if len(data) < length:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    hashes = _gram_hashes(data)
+    grams = len(hashes)
     low = (hashes & ~_PLACE) | np.arange(grams, dtype=np.uint64)
     span, wide = length - GRAM + 1, 1
     while 2 * wide <= span:
@@ -278,8 +287,29 @@ def _sorted_shards(asked: DataFrame, length: int) -> DataFrame:
     return asked.mapInArrow(work, _FOUND)
 
 
+def _slices(cut: DataFrame, length: int) -> DataFrame:
+    """(doc, anchor, piece, start, windows, copies) of the slices of pieces (anchor, piece, weight, text); the piece is their doc."""
+
+    def work(batches):
+        for batch in batches:
+            out = []
+            for anchor, piece, weight, text in zip(*(batch.column(c).to_pylist() for c in ("anchor", "piece", "weight", "text"))):
+                n = len(text) - length + 1
+                at = int(np.argmax(_gram_hashes(text).view(np.int64) == anchor))
+                for k in range((at - n + 1) // SLICE, at // SLICE + 1):
+                    first, last = max(0, at - SLICE * k - SLICE + 1), min(n, at - SLICE * k + 1)
+                    core = text[at - SLICE * k : at - SLICE * k - SLICE + 1 + length]
+                    digests = (blake2b(x, digest_size=8, person=b"%d" % k).digest() for x in (core, text[first : last + length - 1]))
+                    out.append((f"{anchor}:{piece}", *(int.from_bytes(d, "little", signed=True) for d in digests), first, last - first, weight))
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
+            names = ["doc", "anchor", "piece", "start", "windows", "copies"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+
+    return cut.mapInArrow(work, "doc string, anchor long, piece long, start int, windows int, copies long")
+
+
 def _fingerprints(cut: DataFrame, length: int) -> DataFrame:
-    """(anchor, piece, runs) of pieces of hot anchors, by the fingerprints of their windows."""
+    """(anchor, piece, runs) of pieces (anchor, piece, weight, text), by the fingerprints of their windows."""
 
     def prints(batches):
         for batch in batches:
@@ -289,12 +319,59 @@ def _fingerprints(cut: DataFrame, length: int) -> DataFrame:
                 same = [pa.array([x] * n, pa.int64()) for x in (anchor, piece, weight)]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(range(n), pa.int32()), digests], names=["anchor", "piece", "weight", "at", "print"])
 
-    rows = cut_lineage(cut.mapInArrow(prints, "anchor long, piece long, weight long, at int, print binary"))
+    rows = cut.mapInArrow(prints, "anchor long, piece long, weight long, at int, print binary")
     twice = rows.groupBy("print").agg(F.sum("weight").alias("all")).where(F.col("all") > 1).select("print")
     runs = F.flatten(F.transform(F.array_sort(F.collect_list("at")), lambda i: F.array(i, i + 1))).alias("runs")
     return rows.join(twice, "print").groupBy("anchor", "piece").agg(runs)
 
 
+def _repeats(places: DataFrame, texts: DataFrame, length: int, shard: int, hot: int, slices: bool = True) -> DataFrame:
+    """(anchor, piece, runs of repeated windows), a stored table, of pieces at (doc, anchor, piece, start, windows, copies)
+    of texts (doc, text in bytes); ``slices`` are cut from pieces of hot anchors."""
+    # One row for each distinct piece; its text is taken from the place with the smallest mark.
+    mark = F.xxhash64("doc", "start")
+    pieces = places.groupBy("anchor", "piece").agg(
+        F.sum("copies").alias("weight"), F.min(mark).alias("mark"), F.max("windows").alias("windows")
+    )
+    anchors = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("distinct"), F.sum("weight").alias("all")).where(F.col("all") > 1)
+    repeated = cut_lineage(pieces.join(anchors.select("anchor", "distinct"), "anchor"))
+    several = repeated.where("distinct > 1")
+    total = several.where(F.col("distinct") <= hot).agg(F.sum(F.col("windows") + length)).first()[0] or 0
+    shards = max(1, -(-total // shard))
+    wanted = several.select("anchor", "piece", "weight", "mark", "distinct").join(
+        places.select("anchor", "piece", "doc", "start", "windows", mark.alias("mark")), ["anchor", "piece", "mark"]
+    )
+    asked = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "piece", "weight", "distinct", "start", "windows")).alias("asked"))
+    cut = cut_lineage(
+        texts.join(asked, "doc").select("text", F.explode("asked").alias("a"))
+        .select("a.*", F.expr(f"substring(text, a.start + 1, a.windows + {length - 1})").alias("text"))
+        .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+        .dropDuplicates(["anchor", "piece"])
+    )
+    parts = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut.where(F.col("distinct") <= hot).select("shard", "anchor", "piece", "weight", "text")
+    found = _sorted_shards(dealt.repartition(min(shards, 4 * parts), "shard").sortWithinPartitions("shard"), length)
+    found = found.unionByName(repeated.where("distinct = 1").select("anchor", "piece", F.array(F.lit(0), F.col("windows")).alias("runs")))
+    crowded, spent = cut.where(F.col("distinct") > hot).select("anchor", "piece", "weight", "text"), [repeated, cut]
+    if several.where(F.col("distinct") > hot).isEmpty():
+        pass
+    elif slices:
+        made = cut_lineage(_slices(crowded, length))
+        name = F.concat_ws(":", "anchor", "piece")
+        inside = _repeats(made, crowded.select(name.alias("doc"), "text"), length, shard, hot, False)
+        moved = F.transform("runs", lambda x: x + F.col("start"))
+        runs = made.join(inside, ["anchor", "piece"]).groupBy("doc").agg(F.flatten(F.collect_list(moved)).alias("runs"))
+        ids = [F.split("doc", ":")[i].cast("long").alias(c) for i, c in enumerate(("anchor", "piece"))]
+        found = found.unionByName(runs.select(*ids, "runs"))
+        spent += [made, inside]
+    else:
+        found = found.unionByName(_fingerprints(crowded, length))
+    found = cut_lineage(found)
+    for frame in spent:
+        forget(frame)
+    return found
+
+
 def _kept(joined: DataFrame, length: int) -> DataFrame:
     """(doc, n_bytes, n_removed, n_spans, kept_sha256) of rows (doc, text, found: list of (start, runs))."""
 
@@ -326,40 +403,13 @@ def without_repeats(
     places = cut_lineage(
         _places(rows.select("doc", "text"), length).groupBy("doc", "anchor", "piece", "start", "windows").agg(F.count(F.lit(1)).alias("copies"))
     )
-    # One row for each distinct piece; its text is taken from the place with the smallest mark.
-    mark = F.xxhash64("doc", "start")
-    pieces = places.groupBy("anchor", "piece").agg(
-        F.sum("copies").alias("weight"), F.min(mark).alias("mark"), F.max("windows").alias("windows")
-    )
-    anchors = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("distinct"), F.sum("weight").alias("all")).where(F.col("all") > 1)
-    repeated = cut_lineage(pieces.join(anchors.select("anchor", "distinct"), "anchor"))
-    several = repeated.where("distinct > 1")
-    total = several.where(F.col("distinct") <= hot).agg(F.sum(F.col("windows") + length)).first()[0] or 0
-    shards = max(1, -(-total // shard))
-    wanted = several.select("anchor", "piece", "weight", "mark", "distinct").join(
-        places.select("anchor", "piece", "doc", "start", "windows", mark.alias("mark")), ["anchor", "piece", "mark"]
-    )
-    asked = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "piece", "weight", "distinct", "start", "windows")).alias("asked"))
     distinct = rows.groupBy("doc").agg(F.first("text").alias("text"))
-    cut = (
-        distinct.join(asked, "doc").select(F.encode("text", "utf-8").alias("text"), F.explode("asked").alias("a"))
-        .select("a.*", F.expr(f"substring(text, a.start + 1, a.windows + {length - 1})").alias("text"))
-        .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-        .dropDuplicates(["anchor", "piece"])
-    )
-    cut = cut_lineage(cut)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cut.where(F.col("distinct") <= hot).select("shard", "anchor", "piece", "weight", "text")
-    found = _sorted_shards(dealt.repartition(min(shards, 4 * parts), "shard").sortWithinPartitions("shard"), length)
-    if not several.where(F.col("distinct") > hot).isEmpty():
-        found = found.unionByName(_fingerprints(cut.where(F.col("distinct") > hot), length))
-    whole = repeated.where("distinct = 1").select("anchor", "piece", F.array(F.lit(0), F.col("windows")).alias("runs"))
-    found = cut_lineage(found.unionByName(whole))
+    found = _repeats(places, distinct.select("doc", F.encode("text", "utf-8").alias("text")), length, shard, hot)
     spans = places.join(found, ["anchor", "piece"]).groupBy("doc").agg(F.collect_list(F.struct("start", "runs")).alias("found"))
     kept = cut_lineage(_kept(distinct.join(spans, "doc", "left").select("doc", "text", "found"), length))
     result = rows.select(F.col("id").alias(identifier), "doc").join(kept, "doc").select(
         identifier, "n_bytes", "n_removed", "n_spans", "kept_sha256"
     )
-    for frame in (places, repeated, cut, found):
+    for frame in (places, found):
         forget(frame)
     return result

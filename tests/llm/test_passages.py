@@ -43,10 +43,11 @@ def passages():
     rows += [(i, rows[i - 100][1], "en") for i in range(100, 110)] + [(200, None, None), (201, "", "en"), (None, rows[3][1], "en"), (3, rows[4][1], "en")]
     rows += [(210, "x" * 3000, "en"), (211, "xy" * 900 + "x" * 800, "en"), (212, "\0" * 900 + "a", "en"), (213, "x" * 399, "en"), (214, "q" * 400, "en")]
     rows += [(i, text(70) + " " + short[: 250 + i % 40] + text(70), "en") for i in range(300, 340)]
+    rows += [(i, text(50) + shared[: 300 + 4 * (i % 40)] + text(50), "en") for i in range(400, 440)]
     return rows
 
 
-@pytest.mark.parametrize("sizes", [{}, {"shard": 5000}, {"hot": 2}])
+@pytest.mark.parametrize("sizes", [{}, {"shard": 5000}, {"hot": 10}, {"hot": 2}, {"hot": 1}])
 def test_bytes_of_repeated_strings_go(spark, sizes):
     rows = passages()
     got = suffixes.without_repeats(table(spark, rows), **sizes)
