@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from ..graph import fastrp as fastrp_module
 from ..graph import knn as knn_module
 from ..graph import louvain as louvain_module
@@ -21,7 +20,7 @@ from ..model import DEDUP_KEY, EDGES, NodeSpec
 from ..operators import context, documents, fraud, proposals, retrieval, style, upsert
 from ..sources import graph as graph_scan
 from ..sources import log as log_table
-from ..session import keep
+from ..session import keep, shared_dir
 from ..sources import nodes as node_tables
 from .portfolio import Portfolio
 
@@ -701,7 +700,7 @@ def pagerank(p: Portfolio) -> DataFrame:
 
 @query
 def fastrp(p: Portfolio) -> DataFrame:
-    vectors = fastrp_module.fastrp(_holding_graph(p), size=16)
+    vectors = fastrp_module.fastrp(_holding_graph(p))
     return vectors.select("id", "label", F.posexplode("embedding").alias("dim", "value")).select(
         "id", "label", "dim", F.round("value", 6).alias("value")
     )
@@ -953,6 +952,41 @@ def score_unlabeled(p: Portfolio) -> DataFrame:
     return registry.score_unlabeled(table, model, columns)
 
 
+def _nation_features(p: Portfolio) -> DataFrame:
+    """Customers with balance and nation number; the name of the nation's region is the label, but for every fifth customer."""
+    nations = p.raw("nation").join(p.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    number = F.col("c_custkey") % 5
+    return p.raw("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        p.tag("C", "c_custkey").alias("customer_id"), F.col("c_acctbal").cast("double").alias("annual_income"),
+        F.col("c_nationkey").cast("double").alias("credit_score"), F.when(number != 0, F.col("r_name")).alias("risk_category"),
+        F.col("r_name").alias("true_risk_category"), (number == 0).alias("is_held_out"),
+    )
+
+
+@query
+def champion_chain(p: Portfolio) -> DataFrame:
+    """Two models are trained, scored on a test part, registered and promoted if better; the stored champion scores
+    the customers without a label. The nation decides the region, so the first model, which knows it, is right, and the
+    second, which knows the balance, is not promoted."""
+    root = f"{shared_dir(p.spark)}/custgraph-{uuid.uuid4().hex}"
+    table = keep(_nation_features(p))
+    known = keep(split.train_test_split(split.labeled(table, "risk_category"), "risk_category", 0.3))
+    promoted = []
+    for columns in (["credit_score"], ["annual_income"]):
+        model = train.fit_one(known.filter(~F.col("is_test")), columns, "RandomForest", None, MODELS)
+        scored = model.transform(known.filter("is_test"))
+        f1 = metrics.macro_scores(metrics.confusion_counts(scored, "risk_category", "predicted_risk_category")).first()["macro_f1"]
+        promoted.append(registry.register(p.spark, root, "region", model, "RandomForest", f1))
+    winner = registry.champion(registry.read_versions(p.spark, root), "region").first()
+    predictions = registry.score_unlabeled(table, registry.load_champion(p.spark, root, "region"), ["credit_score"])
+    result = metrics.evaluate_predictions(predictions, table).select("total", "correct", "accuracy")
+    return predictions.crossJoin(F.broadcast(result)).select(
+        "customer_id", "predicted_risk_category", F.lit(winner["version"]).cast("int").alias("version"),
+        F.round(F.lit(winner["val_f1_score"]), 6).alias("val_f1_score"), F.lit(promoted[0]).alias("first_promoted"),
+        F.lit(promoted[1]).alias("second_promoted"), "total", "correct", "accuracy",
+    )
+
+
 @query
 def enrichment_cycle(p: Portfolio) -> DataFrame:
     """The batch applied twice: the second cycle finds everything in the log and writes nothing."""

