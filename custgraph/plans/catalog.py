@@ -953,12 +953,12 @@ def score_unlabeled(p: Portfolio) -> DataFrame:
 
 
 def _nation_features(p: Portfolio) -> DataFrame:
-    """Customers with balance and nation number; the name of the nation's region is the label, but for every fifth customer."""
-    nations = p.raw("nation").join(p.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    """Customers with balance and a number for their nation, regions side by side; the region's name is the label, but for every fifth."""
+    nations = p.raw("nation").join(p.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_regionkey", "r_name")
     number = F.col("c_custkey") % 5
     return p.raw("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
         p.tag("C", "c_custkey").alias("customer_id"), F.col("c_acctbal").cast("double").alias("annual_income"),
-        F.col("c_nationkey").cast("double").alias("credit_score"), F.when(number != 0, F.col("r_name")).alias("risk_category"),
+        (100.0 * F.col("n_regionkey") + F.col("c_nationkey")).alias("credit_score"), F.when(number != 0, F.col("r_name")).alias("risk_category"),
         F.col("r_name").alias("true_risk_category"), (number == 0).alias("is_held_out"),
     )
 
