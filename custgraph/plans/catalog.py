@@ -20,7 +20,7 @@ from ..model import DEDUP_KEY, EDGES, NodeSpec
 from ..operators import context, documents, fraud, proposals, retrieval, style, upsert
 from ..sources import graph as graph_scan
 from ..sources import log as log_table
-from ..session import keep, shared_dir
+from ..session import cut_lineage, keep, shared_dir
 from ..sources import nodes as node_tables
 from .portfolio import Portfolio
 
@@ -775,6 +775,14 @@ def knn(p: Portfolio) -> DataFrame:
     return rounded(knn_module.knn(p.raw("embeddings"), identifier="vec_id"), 6, "similarity")
 
 
+@query
+def knn_of_embeddings(p: Portfolio) -> DataFrame:
+    """The nearest customers of each customer by their FastRP vectors."""
+    vectors = fastrp_module.fastrp(_holding_graph(p)).filter("label = 'Customer'")
+    vectors = vectors.select("id", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+    return rounded(knn_module.knn(cut_lineage(vectors)), 6, "similarity")
+
+
 # ----------------------------------------------------------------- features, splits, models
 
 MODELS = train.Settings()

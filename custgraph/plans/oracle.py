@@ -624,6 +624,13 @@ SQL["knn"] = """WITH el AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, gener
   SELECT source, target, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (
     SELECT *, row_number() OVER (PARTITION BY source ORDER BY similarity DESC, target) AS rank FROM s) WHERE rank <= 5"""
 
+SQL["knn_of_embeddings"] = f"""WITH f AS ({_fastrp_sql()}),
+  n AS (SELECT id, sqrt(sum(value * value)) AS n FROM f WHERE label = 'Customer' GROUP BY 1),
+  u AS (SELECT id, list(CASE WHEN n > 0 THEN round(value / n, 12) ELSE value END ORDER BY dim) AS u FROM f JOIN n USING (id) GROUP BY 1),
+  s AS (SELECT a.id AS source, b.id AS target, round(list_dot_product(a.u, b.u), 9) AS similarity FROM u a JOIN u b ON a.id <> b.id)
+SELECT source, target, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY similarity DESC, target) AS rank FROM s) WHERE rank <= 5"""
+
 # ------------------------------------------------------------------ features, splits, models
 
 SQL["feature_table"] = _with(CUSTOMER, """SELECT c.customer_id, annual_income::DOUBLE AS annual_income, credit_score::DOUBLE AS credit_score,
