@@ -17,7 +17,7 @@ from ..functions.text import preview, safe_float, slugify
 from ..functions.vectors import explode_vector
 from ..ml import features, metrics, registry, split, train
 from ..model import DEDUP_KEY, EDGES, NodeSpec
-from ..operators import context, documents, fraud, proposals, retrieval, style, upsert
+from ..operators import context, documents, fraud, proposals, reports, retrieval, style, upsert
 from ..sources import graph as graph_scan
 from ..sources import log as log_table
 from ..session import cut_lineage, keep, shared_dir
@@ -320,6 +320,17 @@ def prior_enrichments(p: Portfolio) -> DataFrame:
     return proposals.prior_enrichment_lines(p.log())
 
 
+@query
+def prior_report(p: Portfolio) -> DataFrame:
+    """The lines of the log as one text, in order."""
+    return reports.prior_report(p.log())
+
+
+@query
+def enrichment_totals(p: Portfolio) -> DataFrame:
+    return reports.enrichment_totals(p.log())
+
+
 @query
 def enrichment_types(p: Portfolio) -> DataFrame:
     return proposals.enrichment_types(p.log())
@@ -733,6 +744,28 @@ def graph_run_stats(p: Portfolio) -> DataFrame:
     )
 
 
+def _supplier_graph(p: Portfolio) -> projection.Projection:
+    """Suppliers tied to all others of their nation: groups without a tie between them, so that the best communities are the nations."""
+    one, two = (p.raw("supplier").select(p.tag("S", "s_suppkey").alias(x), F.col("s_nationkey").alias("nation")) for x in ("src", "dst"))
+    edges = one.join(two, "nation").filter(F.col("src") < F.col("dst")).select("src", "dst", F.lit("SAME_NATION").alias("rel_type"))
+    return projection.Projection(one.select(F.col("src").alias("id"), F.lit("Supplier").alias("label")), edges)
+
+
+@query
+def louvain_groups(p: Portfolio) -> DataFrame:
+    return louvain_module.louvain(_supplier_graph(p)).communities
+
+
+@query
+def louvain_group_stats(p: Portfolio) -> DataFrame:
+    """Counts and modularity of the run whose best answer is known."""
+    graph = _supplier_graph(p)
+    found = louvain_module.louvain(graph)
+    return graph.nodes.agg(F.count(F.lit(1)).alias("node_count")).crossJoin(
+        graph.directed.agg(F.count(F.lit(1)).alias("relationship_count"))
+    ).withColumns({"community_count": F.lit(found.community_count).cast("long"), "modularity": F.round(F.lit(found.modularity), 6)})
+
+
 _CUTOFF = 0.05
 
 
@@ -1012,3 +1045,13 @@ def enrichment_cycle(p: Portfolio) -> DataFrame:
         }
         rows += [(number, step, n) for step, n in (cycle.counts | sizes).items()]
     return p.spark.createDataFrame(rows, "cycle int, step string, rows bigint")
+
+
+# ----------------------------------------------------------------- reports in order
+
+
+def _in_order(name: str) -> Query:
+    return lambda spark, folder: reports.in_order(REGISTRY[name](spark, folder), name)
+
+
+REGISTRY |= {f"ordered_{name}": _in_order(name) for name in reports.REPORT_ORDER}

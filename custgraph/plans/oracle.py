@@ -744,3 +744,33 @@ def _contexts_sql() -> str:
 
 
 SQL["analysis_contexts"] = _contexts_sql()
+
+# ------------------------------------------------------------------ reports in order
+
+_REPORT_SORT = {
+    "suspicious_communities": "account_count DESC NULLS LAST, community_id, bank_id, account_id",
+    "structuring_accounts": "structuring_count DESC NULLS LAST, account_id",
+    "flow_edges": "community_id, from_account, to_account",
+    "coordinated_positions": "market_cap_billions, community_id, stock_id, account_id",
+    "combined_risk": "risk_score DESC NULLS LAST, account_id, customer_id",
+    "portfolio_holdings": "customer_id, sector, ticker, position_id",
+    "portfolio_context": _ORDERED,
+}
+for _name, _sort in _REPORT_SORT.items():
+    SQL[f"ordered_{_name}"] = f"SELECT *, row_number() OVER (ORDER BY {_sort}) AS position FROM ({SQL[_name]})"
+
+SQL["prior_report"] = f"""WITH log_lines AS ({SQL['prior_enrichments']}), whole AS (
+  SELECT 1 AS place, group_key, block, sub_key, item_key, line FROM log_lines
+  UNION ALL SELECT DISTINCT 1, group_key, 2, '', '', '' FROM log_lines
+  UNION ALL SELECT place, '', block, '', '', line FROM (VALUES (0, 0, '## Prior Enrichments (already written to graph)'), (0, 1, ''),
+    (2, 0, 'Do NOT re-propose relationships that already appear above. Focus on discovering new gaps and patterns.'), (2, 1, ''))
+    f(place, block, line) WHERE EXISTS (SELECT 1 FROM log_lines))
+SELECT row_number() OVER (ORDER BY place, group_key, block, sub_key, item_key, line) AS position, line FROM whole"""
+SQL["enrichment_totals"] = _with(PROPOSAL, "SELECT relationship_type, count(*) AS rows FROM log_v GROUP BY ROLLUP (relationship_type)")
+
+_SUPPLIERS = "s AS (SELECT 'S' || s_suppkey AS id, s_nationkey AS nation FROM supplier)"
+SQL["louvain_groups"] = f"WITH {_SUPPLIERS} SELECT id, 'Supplier' AS label, min(id) OVER (PARTITION BY nation) AS community_id FROM s"
+SQL["louvain_group_stats"] = f"""WITH {_SUPPLIERS}, c AS (SELECT nation, count(*) AS n FROM s GROUP BY 1),
+  m AS (SELECT sum(n * (n - 1)) AS rows FROM c)
+SELECT (SELECT count(*) FROM s) AS node_count, rows::BIGINT AS relationship_count, count(*) AS community_count,
+  round(1 - sum((n * (n - 1) / rows) * (n * (n - 1) / rows)), 6) AS modularity FROM c, m GROUP BY rows"""

@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from custgraph.operators import context, proposals, upsert
+from custgraph.operators import context, proposals, reports, upsert
 from custgraph.plans.enrichment_cycle import enrichment_cycle
 from custgraph.sources.log import log_rows
 
@@ -138,3 +138,22 @@ def test_suggestions_skip_failed_analyses(spark):
 def test_missing_fields(spark):
     got = context.missing_fields(spark, ["customer_id", "employer"])
     assert got.count() == 5 and "employer" not in {r["field"] for r in got.collect()}
+
+
+def test_prior_report_is_a_whole_text(spark):
+    log = log_rows(frame(spark, one(source="C0002"), one()), "run0")
+    text = [r["line"] for r in reports.prior_report(log).orderBy("position").collect()]
+    assert text == [
+        reports.PRIOR_TITLE, "", "### INTERESTED_IN (2 relationships)",
+        "- (Customer C0001) -[INTERESTED_IN]-> (Sector Technology) [high]",
+        "- (Customer C0002) -[INTERESTED_IN]-> (Sector Technology) [high]", "", reports.PRIOR_ADVICE, "",
+    ]
+    assert reports.prior_report(log.limit(0)).isEmpty()
+    totals = {r["relationship_type"]: r["rows"] for r in reports.enrichment_totals(log).collect()}
+    assert totals == {"INTERESTED_IN": 2, None: 2}
+
+
+def test_positions_follow_the_order_with_nulls_last(spark):
+    rows = spark.createDataFrame([("b", "1", None), ("a", "2", 5.0), ("c", "3", 9.0), ("d", "4", 5.0)], "account_id string, customer_id string, risk_score double")
+    got = {r["account_id"]: r["position"] for r in reports.in_order(rows, "combined_risk").collect()}
+    assert got == {"c": 1, "a": 2, "d": 3, "b": 4}
