@@ -17,6 +17,7 @@ REPORT_ORDER = {
     "coordinated_positions": ("market_cap_billions", "community_id", "stock_id", "account_id"),
     "combined_risk": ("-risk_score", "account_id", "customer_id"),
     "portfolio_holdings": ("customer_id", "sector", "ticker", "position_id"),
+    "customer_profiles": ("customer_id",),
     "portfolio_context": (*LINE_ORDER, "line"),
 }
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.skew import salted_join
-from ..model import DEDUP_KEY, PROVENANCE
+from ..model import DEDUP_KEY, PROVENANCE, UNIQUE_KEYS
 from ..session import keep
 
 
@@ -101,6 +102,14 @@ def unique_key_violations(df: DataFrame, label: str, keys: Sequence[str]) -> Dat
     )
 
 
+def all_key_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(label, key_value, copies) against the key rule of every label; ``tables`` holds nodes by label."""
+    missing = set(UNIQUE_KEYS) - set(tables)
+    if missing:
+        raise ValueError(f"no table for {sorted(missing)}")
+    return reduce(DataFrame.unionByName, [unique_key_violations(tables[label], label, [key]) for label, key in UNIQUE_KEYS.items()])
+
+
 def flat_edges(proposals: DataFrame, run_id: str, at: Column) -> DataFrame:
     """Proposals as graph edges with provenance; the later one wins on the same edge."""
     edges = proposals.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from ..graph import projection, similarity
 from ..functions.text import preview, safe_float, slugify
 from ..functions.vectors import explode_vector
 from ..ml import features, metrics, registry, split, train
-from ..model import DEDUP_KEY, EDGES, NodeSpec
+from ..model import DEDUP_KEY, EDGES, NODES, NodeSpec
 from ..operators import context, documents, fraud, proposals, reports, retrieval, style, upsert
 from ..sources import graph as graph_scan
 from ..sources import log as log_table
@@ -76,6 +77,17 @@ def derive_edges(p: Portfolio) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query
+def derive_all_edges(p: Portfolio) -> DataFrame:
+    """The seven edge tables of the portfolio, side by side."""
+    tables = p.tables() | {"account": p.account_at_bank(), "transaction": p.payment()}
+    parts = [
+        edges.toDF("source_key", "target_key").select(F.lit(name).alias("edge_table"), "source_key", "target_key")
+        for name, edges in node_tables.edge_tables(tables).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def table_row_counts(p: Portfolio) -> DataFrame:
     tables = p.tables()
@@ -141,6 +153,17 @@ def unique_key_violations(p: Portfolio) -> DataFrame:
     )
 
 
+@query
+def all_key_violations(p: Portfolio) -> DataFrame:
+    """Nine key rules; the chunks are keyed by their conversation alone, which repeats."""
+    tables = p.tables()
+    chunks = p.conversation_chunks().select(F.col("document_id").alias("chunk_id"))
+    return upsert.all_key_violations({
+        **{NODES[name].label: frame for name, frame in tables.items()}, "Transaction": p.payment(),
+        "Document": p.document(), "Chunk": chunks.withColumn("chunk_id", F.col("chunk_id").cast("string")),
+    })
+
+
 @query
 def log_append_rows(p: Portfolio) -> DataFrame:
     rows = log_table.log_rows(p.batch(), RUN_ID, run_time())
@@ -816,6 +839,21 @@ def knn_of_embeddings(p: Portfolio) -> DataFrame:
     return rounded(knn_module.knn(cut_lineage(vectors)), 6, "similarity")
 
 
+def _knn_pairs(p: Portfolio) -> DataFrame:
+    return keep(knn_of_embeddings(p))
+
+
+@query
+def knn_community_overlap(p: Portfolio) -> DataFrame:
+    return rounded(similarity.community_overlap(_knn_pairs(p), p.communities()), 5, "avg_similarity")
+
+
+@query
+def knn_neighbors_by_name(p: Portfolio) -> DataFrame:
+    names = [f"Customer {n:09d}" for n in (1, 2, 3)]
+    return similarity.neighbors_by_name(_knn_pairs(p), p.customer(), p.communities(), names)
+
+
 # ----------------------------------------------------------------- features, splits, models
 
 MODELS = train.Settings()
@@ -1050,8 +1088,14 @@ def enrichment_cycle(p: Portfolio) -> DataFrame:
 # ----------------------------------------------------------------- reports in order
 
 
+@query
+def ordered_customer_profiles(p: Portfolio) -> DataFrame:
+    """All twelve columns of the profiles, by customer."""
+    return reports.in_order(context.customer_profiles(p.customer()), "customer_profiles")
+
+
 def _in_order(name: str) -> Query:
     return lambda spark, folder: reports.in_order(REGISTRY[name](spark, folder), name)
 
 
-REGISTRY |= {f"ordered_{name}": _in_order(name) for name in reports.REPORT_ORDER}
+REGISTRY |= {f"ordered_{name}": _in_order(name) for name in reports.REPORT_ORDER if f"ordered_{name}" not in REGISTRY}

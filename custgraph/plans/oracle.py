@@ -774,3 +774,40 @@ SQL["louvain_group_stats"] = f"""WITH {_SUPPLIERS}, c AS (SELECT nation, count(*
   m AS (SELECT sum(n * (n - 1)) AS rows FROM c)
 SELECT (SELECT count(*) FROM s) AS node_count, rows::BIGINT AS relationship_count, count(*) AS community_count,
   round(1 - sum((n * (n - 1) / rows) * (n * (n - 1) / rows)), 6) AS modularity FROM c, m GROUP BY rows"""
+
+# ------------------------------------------------------------------ whole tables of edges, keys and neighbors
+
+SQL["derive_all_edges"] = """SELECT 'has_account' AS edge_table, 'C' || o_custkey AS source_key, 'A' || o_orderkey AS target_key
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  UNION ALL SELECT 'at_bank', 'A' || o_orderkey, 'B' || c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey
+  UNION ALL SELECT 'of_company', 'S' || p_partkey, p_brand || '-' || p_type FROM part
+  UNION ALL SELECT 'performs', 'A' || l_orderkey, 'T' || l_orderkey || '-' || l_linenumber FROM lineitem
+  UNION ALL SELECT 'benefits_to', 'T' || l_orderkey || '-' || l_linenumber, 'A' || l_suppkey FROM lineitem
+  UNION ALL SELECT DISTINCT 'has_position', 'A' || l_orderkey, 'H' || l_orderkey || '-' || l_partkey FROM lineitem
+  UNION ALL SELECT DISTINCT 'of_security', 'H' || l_orderkey || '-' || l_partkey, 'S' || l_partkey FROM lineitem"""
+
+_KEYS = {
+    "Customer": "SELECT 'C' || c_custkey AS k FROM customer", "Account": "SELECT 'A' || o_orderkey FROM orders",
+    "Bank": "SELECT 'B' || n_nationkey FROM nation", "Company": "SELECT p_brand || '-' || p_type FROM (SELECT DISTINCT p_brand, p_type FROM part)",
+    "Stock": "SELECT 'S' || p_partkey FROM part",
+    "Position": "SELECT 'H' || l_orderkey || '-' || l_partkey FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)",
+    "Transaction": "SELECT 'T' || l_orderkey || '-' || l_linenumber FROM lineitem",
+    "Document": "SELECT doc_id::VARCHAR FROM documents", "Chunk": "SELECT conv_id::VARCHAR FROM conversations",
+}
+SQL["all_key_violations"] = "\nUNION ALL ".join(
+    f"SELECT '{label}' AS label, k AS key_value, count(*) AS copies FROM ({rows}) t(k) GROUP BY k HAVING count(*) > 1"
+    for label, rows in _KEYS.items()
+)
+
+_KNN = f"k AS ({SQL['knn_of_embeddings']}), c AS (SELECT 'C' || c_custkey AS id, c_mktsegment AS m, replace(c_name, '#', ' ') AS name FROM customer)"
+SQL["knn_community_overlap"] = f"""WITH {_KNN}
+SELECT CASE WHEN a.m = b.m THEN 'same' ELSE 'different' END AS community_match, count(*) AS pairs, round(avg(similarity), 5) AS avg_similarity
+FROM k LEFT JOIN c a ON a.id = source LEFT JOIN c b ON b.id = target GROUP BY 1"""
+SQL["knn_neighbors_by_name"] = f"""WITH {_KNN}
+SELECT a.name AS customer, a.m AS community_id, CAST(row_number() OVER (PARTITION BY source ORDER BY similarity DESC, target) AS INTEGER) AS position,
+  b.name AS neighbor_name, b.m AS neighbor_community, similarity
+FROM k JOIN c a ON a.id = source JOIN c b ON b.id = target WHERE a.name IN ('Customer 000000001', 'Customer 000000002', 'Customer 000000003')"""
+
+SQL["ordered_customer_profiles"] = _with(CUSTOMER, """SELECT customer_id, first_name, last_name, NULL::VARCHAR AS email,
+  NULL::VARCHAR AS city, state, annual_income, credit_score, risk_profile, NULL::DATE AS registration_date, NULL::DATE AS date_of_birth,
+  NULL::VARCHAR AS employment_status, row_number() OVER (ORDER BY customer_id) AS position FROM customer_v""")

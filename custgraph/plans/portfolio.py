@@ -104,6 +104,13 @@ class Portfolio:
             )
         )
 
+    def payment(self) -> DataFrame:
+        """Lots as payments from the account of the order to that of the supplier."""
+        return self.raw("lineitem").select(
+            F.concat(F.lit("T"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("transaction_id"),
+            self.tag("A", "l_orderkey").alias("from_account_id"), self.tag("A", "l_suppkey").alias("to_account_id"),
+        )
+
     def tables(self) -> dict[str, DataFrame]:
         return {
             "customer": self.customer(), "account": self.account(), "bank": self.bank(),

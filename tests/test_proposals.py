@@ -1,8 +1,10 @@
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from custgraph.model import UNIQUE_KEYS
 from custgraph.operators import context, proposals, reports, upsert
 from custgraph.plans.enrichment_cycle import enrichment_cycle
 from custgraph.sources.log import log_rows
@@ -157,3 +159,12 @@ def test_positions_follow_the_order_with_nulls_last(spark):
     rows = spark.createDataFrame([("b", "1", None), ("a", "2", 5.0), ("c", "3", 9.0), ("d", "4", 5.0)], "account_id string, customer_id string, risk_score double")
     got = {r["account_id"]: r["position"] for r in reports.in_order(rows, "combined_risk").collect()}
     assert got == {"c": 1, "a": 2, "d": 3, "b": 4}
+
+
+def test_all_key_rules_are_asked(spark):
+    tables = {label: spark.createDataFrame([("a",), ("b",)], [key]) for label, key in UNIQUE_KEYS.items()}
+    assert upsert.all_key_violations(tables).isEmpty()
+    tables["Bank"] = tables["Bank"].unionAll(tables["Bank"])
+    assert {tuple(r) for r in upsert.all_key_violations(tables).collect()} == {("Bank", "a", 2), ("Bank", "b", 2)}
+    with pytest.raises(ValueError, match="Chunk"):
+        upsert.all_key_violations({k: v for k, v in tables.items() if k != "Chunk"})
