@@ -42,3 +42,23 @@ def test_only_needed_columns_are_read(spark):
 
 def test_top_k_is_cut_before_the_shuffle(spark):
     assert plan_of(spark, "create_holdout").count("WindowGroupLimit") >= 2
+
+
+def test_fastrp_sums_run_in_generated_code(spark):
+    """A round at 128 dimensions: every aggregate and the exchange before it, in blocks of 32 columns."""
+    from custgraph.graph.fastrp import BLOCK, _sign, round_means
+    from custgraph.graph.projection import Adjacency
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        edges = spark.createDataFrame([(0, 1), (1, 0), (1, 2), (2, 1)], "src long, dst long")
+        state = spark.range(3).selectExpr("id", "cast(id as string) as name", "explode(sequence(0, 3)) as block").selectExpr(
+            "id", "block", *[f"{_sign(1, j)} as x{j}" for j in range(BLOCK)]
+        )
+        means = round_means(Adjacency(edges), state, BLOCK)
+        plan = means._jdf.queryExecution().executedPlan().toString()
+        lines = [line for line in plan.splitlines() if "HashAggregate" in line or "Join" in line]
+        assert lines and all("*(" in line for line in lines)
+        assert means.count() == 3 * 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
