@@ -773,7 +773,7 @@ SQL["louvain_groups"] = f"WITH {_SUPPLIERS} SELECT id, 'Supplier' AS label, min(
 SQL["louvain_group_stats"] = f"""WITH {_SUPPLIERS}, c AS (SELECT nation, count(*) AS n FROM s GROUP BY 1),
   m AS (SELECT sum(n * (n - 1)) AS rows FROM c)
 SELECT (SELECT count(*) FROM s) AS node_count, rows::BIGINT AS relationship_count, count(*) AS community_count,
-  round(1 - sum((n * (n - 1) / rows) * (n * (n - 1) / rows)), 6) AS modularity FROM c, m GROUP BY rows"""
+  round(CASE WHEN rows > 0 THEN 1 - sum((n * (n - 1) / rows) * (n * (n - 1) / rows)) ELSE 0 END, 6) AS modularity FROM c, m GROUP BY rows"""
 
 # ------------------------------------------------------------------ whole tables of edges, keys and neighbors
 
