@@ -6,13 +6,15 @@ A text's set holds the 64-bit hashes of its distinct shingles. The top bits of a
 that each register matches with the probability of the Jaccard similarity whatever the set's size.
 
 Equal sets are one node from the start, so copies cost nothing more. Nodes that agree on a band of
-``BAND`` registers meet in a group. In two rounds each node of a group is compared with one leader,
-another one in each group, so a family of texts that meets in many bands joins up by many leaders;
-what remains are the pairs of a group that still lie in different components, all of them. A pair
-whose sizes allow the similarity and whose estimate, corrected for chance matches of registers,
-is within six deviations of it is confirmed on the full sets, read again from the texts.
+``BAND`` registers meet in a group. In two rounds each node is compared with one leader, the one it
+shares most bands with, so families join up by few comparisons. What remains are groups that still
+hold two components: their nodes travel with their registers in blocks of ``BLOCK`` a side, and a task
+gives only the pairs of different components whose sizes allow the similarity and whose estimate,
+corrected for chance matches of registers, is within ``SLACK`` deviations of it, each in the first band
+that the two share. No pair is a row before its estimate. Such pairs are confirmed on the full sets,
+read again from the texts.
 
-At a similarity of 0.8 a link escapes all 32 bands with a probability below 1e-7.
+At a similarity of 0.8 a link escapes all 64 bands with a probability below 1e-5, at 0.85 below 1e-8.
 
 Defined results: null and empty texts and texts without words have an empty set and link with nothing;
 a text shorter than a shingle is one shingle; rows repeated under one id are rows of their own, and
@@ -30,11 +32,13 @@ from ..session import cut_lineage, forget
 from .components import components
 from .words import byte_texts, chunks, hash_texts, mix
 
-REGISTERS, MANTISSA, BAND = 128, 10, 4
+REGISTERS, MANTISSA, BAND = 512, 10, 8
 BANDS = REGISTERS // BAND
-_REST = 57  # bits of a hash below those that choose the bucket
-LEADERS = (1, 2)  # seeds of the rounds with leaders; a group's leader is its least node in a random order of its own
-_ORDER = np.argsort(np.random.default_rng(7).random((REGISTERS, REGISTERS)), axis=1)
+_REST = 55  # bits of a hash below those that choose the bucket
+LEADERS = (0, 0x5DEECE66D1234567)  # one for each round with leaders: a group's leader is its least node in the order this gives
+BLOCK, TESTED = 2048, 1 << 13  # nodes of a side of a block, pairs estimated at once
+SLACK = 4.5
+_RANK = np.random.default_rng(7).permuted(np.tile(np.arange(REGISTERS, dtype=np.int16), (REGISTERS, 1)), axis=1)
 
 
 def shingles(words: np.ndarray, size: int) -> np.ndarray:
@@ -54,18 +58,23 @@ def registers(hashes: np.ndarray) -> tuple[np.ndarray, int]:
     first = np.searchsorted(hashes, edges)
     filled = np.diff(np.append(first, len(hashes))) > 0
     rest = hashes[np.minimum(first, len(hashes) - 1)] & np.uint64((1 << _REST) - 1)
-    rest = np.maximum(rest & ~np.uint64(31), np.uint64(32))  # 52 bits, exact as a double
+    rest = np.maximum(rest & ~np.uint64(7), np.uint64(8))  # 52 bits, exact as a double
     zeros = (_REST - np.frexp(rest.astype(np.float64))[1]).astype(np.uint64)
     bits = ((rest << (zeros + np.uint64(1))) & np.uint64((1 << _REST) - 1)) >> np.uint64(_REST - MANTISSA)
     values = ((zeros << np.uint64(MANTISSA)) | bits).astype(np.uint16)
-    source = _ORDER[np.arange(REGISTERS), np.argmax(filled[_ORDER], axis=1)]
-    return np.where(filled, values, values[source]), int(filled.sum())
+    full, empty = np.flatnonzero(filled), np.flatnonzero(~filled)
+    if len(empty):
+        values[empty] = values[full[_RANK[np.ix_(empty, full)].argmin(axis=1)]]
+    return values, len(full)
 
 
 def band_keys(sketches: np.ndarray) -> np.ndarray:
     """One 64-bit key for each row of registers and band."""
-    packed = np.ascontiguousarray(sketches).view(np.uint64)
-    return np.stack([mix(packed[:, i], 16 + i) for i in range(BANDS)], axis=1)
+    packed = np.ascontiguousarray(sketches).view(np.uint64).reshape(len(sketches), BANDS, BAND // 4)
+    keys = mix(np.arange(BANDS, dtype=np.uint64), 15)
+    for i in range(BAND // 4):
+        keys = mix(keys + packed[:, :, i], 16 + i)
+    return keys
 
 
 def estimate(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -121,27 +130,126 @@ def _grouped(nodes: DataFrame) -> DataFrame:
     return banded.join(shared, "band")
 
 
+def _passes(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, filled: np.ndarray, least: int) -> np.ndarray:
+    """Which pairs of rows of registers allow a similarity of ``least`` percent."""
+    goal = least / 100
+    deviation = np.sqrt(goal * (1 - goal) * (1 / filled + 1 / REGISTERS))
+    return estimate(left, right, n_left, n_right) >= goal - SLACK * deviation
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+
+
 def _likely(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and registers allow a similarity of ``least`` percent."""
-    side = lambda x: nodes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "filled", "sketch")])
+    """The pairs (a, b, n_a, n_b) whose registers allow a similarity of ``least`` percent."""
+    side = lambda x: nodes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "filled", "sketch")])
     both = (
         pairs.join(side("a"), F.col("a") == F.col("node_a")).join(side("b"), F.col("b") == F.col("node_b"))
-        .where(100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
         .select("a", "b", "n_a", "n_b", F.least("filled_a", "filled_b").alias("filled"), "sketch_a", "sketch_b")
     )
-    goal = least / 100
 
     def work(batches):
         for batch in batches:
             if batch.num_rows:
-                left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (5, 6))
-                guess = estimate(left, right, batch.column(2).to_numpy(), batch.column(3).to_numpy())
-                deviation = np.sqrt(goal * (1 - goal) * (1 / batch.column(4).to_numpy() + 1 / REGISTERS))
-                yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(guess >= goal - 6 * deviation))
+                n_a, n_b, filled = (batch.column(i).to_numpy() for i in (2, 3, 4))
+                good = _passes(_sketches(batch.column(5)), _sketches(batch.column(6)), n_a, n_b, filled, least)
+                yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(good))
 
     return both.mapInArrow(work, "a long, b long, n_a long, n_b long")
 
 
+def _led(groups: DataFrame, info: DataFrame, order: int, least: int) -> DataFrame:
+    """(a, b, n_a, n_b): each node with the leader of another component that it shares most groups with."""
+    leader = groups.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(F.lit(order))).alias("x"))
+    leader = leader.select("band", F.col("x").bitwiseXOR(F.lit(order)).alias("leader"))
+    shared = groups.join(leader, "band").where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("bands"))
+    chief = info.select(F.col("node").alias("leader"), F.col("n").alias("n_b"), F.col("component").alias("apart"))
+    apart = (
+        shared.join(info, "node").join(chief, "leader")
+        .where((F.col("component") != F.col("apart")) & (100 * F.least("n", "n_b") >= least * F.greatest("n", "n_b")))
+    )
+    best = apart.groupBy("node").agg(F.max(F.struct("bands", "leader", "n", "n_b")).alias("best"))
+    return best.select(F.col("node").alias("a"), F.col("best.leader").alias("b"), F.col("best.n").alias("n_a"), F.col("best.n_b").alias("n_b"))
+
+
+def _compare(least: int):
+    """Rows of one (band, low, high) follow each other; gives the likely pairs of each block."""
+
+    def tests(rows: pa.RecordBatch):
+        """The places of pairs of different components whose sizes allow the similarity."""
+        side, component, n = (rows.column(i).to_numpy() for i in (4, 5, 6))
+        one_block = rows.column(1)[0].as_py() == rows.column(2)[0].as_py()
+        by_size = np.argsort(n, kind="stable")
+        far = np.searchsorted(n[by_size], 100 * n[by_size] // least, side="right")
+        lefts, rights, held = [], [], 0
+        for at in range(len(n)):
+            i, others = by_size[at], by_size[at + 1 : far[at]]
+            others = others[component[others] != component[i]]
+            if not one_block:
+                others = others[side[others] != side[i]]
+            for start in range(0, len(others), TESTED):
+                lefts.append(np.full(len(others[start : start + TESTED]), i))
+                rights.append(others[start : start + TESTED])
+                held += len(rights[-1])
+                if held >= TESTED:
+                    yield np.concatenate(lefts), np.concatenate(rights)
+                    lefts, rights, held = [], [], 0
+        if held:
+            yield np.concatenate(lefts), np.concatenate(rights)
+
+    def group(rows: pa.RecordBatch):
+        node, n, filled = (rows.column(i).to_numpy() for i in (3, 6, 7))
+        sketches = _sketches(rows.column(8))
+        keys = band_keys(sketches)
+        turn = int(np.flatnonzero(keys[0] == np.uint64(rows.column(0)[0].as_py() & (1 << 64) - 1))[0])
+        for a, b in tests(rows):
+            good = _passes(sketches[a], sketches[b], n[a], n[b], np.minimum(filled[a], filled[b]), least)
+            a, b = a[good], b[good]
+            new = ~(keys[a, :turn] == keys[b, :turn]).any(axis=1)
+            a, b = a[new], b[new]
+            if len(a):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[a]), pa.array(node[b]), pa.array(n[a]), pa.array(n[b])], names=["a", "b", "n_a", "n_b"]
+                )
+
+    def work(batches):
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            marks = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            starts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist()]
+            for start, end in zip(starts[:-1], starts[1:]):
+                yield from group(batch.slice(start, end - start))
+            rest = batch.slice(starts[-1])
+        if rest is not None:
+            yield from group(rest)
+
+    return work
+
+
+def _blocks(groups: DataFrame, nodes: DataFrame, info: DataFrame, least: int) -> DataFrame:
+    """The likely pairs (a, b, n_a, n_b) of different components, each once, of all groups that hold two components."""
+    here = groups.join(info.select("node", "component"), "node")
+    split = (
+        here.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows"))
+        .where("low < high").select("band", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    )
+    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (
+        here.join(split, "band").withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("band", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "node", "side", "component")
+    )
+    rich = dealt.join(nodes.select("node", "n", "filled", "sketch"), "node").select(
+        "band", "low", "high", "node", "side", "component", "n", "filled", "sketch"
+    )
+    ordered = rich.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+    return ordered.mapInArrow(_compare(least), "a long, b long, n_a long, n_b long")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, least: int) -> DataFrame:
     """The pairs whose full sets have the similarity; sets are made from the texts of the nodes' documents."""
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -172,43 +280,25 @@ def near_duplicates(
         .select("node", "id", "n", "filled", "sketch").dropDuplicates(["node"])
     )
     groups = cut_lineage(_grouped(nodes))
-    links, tested, labels, spent = None, None, None, []
-    for turn in (*LEADERS, None):
-        here = groups
-        if labels is not None:
-            here = groups.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-            split = here.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-            here = here.join(split.select("band"), "band")
+    links, labels, spent = None, None, []
+    for order in (*LEADERS, None):
+        known = nodes.select("node", "n")
+        if labels is None:
+            info = known.withColumn("component", F.col("node"))
         else:
-            here = here.withColumn("component", F.col("node"))
-        if turn is None:
-            here = cut_lineage(here)
-            spent.append(here)
-            other = here.select("band", F.col("node").alias("other"), F.col("component").alias("apart"))
-            met = here.join(other, "band").where("node < other and component <> apart").select(F.col("node").alias("a"), F.col("other").alias("b"))
+            info = known.join(labels, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
+        if order is None:
+            pairs, likely = None, cut_lineage(_blocks(groups, nodes, info, least))
         else:
-            here = cut_lineage(here)
-            spent.append(here)
-            order = F.xxhash64("band", F.lit(turn))  # families that share many bands get many leaders
-            leader = here.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(order)).alias("x"))
-            leader = leader.select("band", F.col("x").bitwiseXOR(order).alias("leader"))
-            chief = here.select(F.col("node").alias("leader"), F.col("component").alias("apart")).distinct()
-            met = (
-                here.join(leader.join(chief, "leader"), "band").where("component <> apart")
-                .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-            )
-        pairs = met.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        likely = cut_lineage(_likely(pairs, nodes, least))
+            pairs = cut_lineage(_led(groups, info, order, least))
+            likely = cut_lineage(_likely(pairs, nodes, least))
         found = _confirmed(likely, docs, nodes, words, least)
-        spent += [pairs, likely, found]
+        spent.append(found)
         links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if labels is not None:
-            spent.append(labels)
-        labels = components(links)
+        before, labels = labels, components(links)
+        for frame in (pairs, likely, before):
+            if frame is not None:
+                forget(frame)
     classes = named.join(labels, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     least_id = classes.groupBy("component").agg(F.min("first").alias("component_id"))
     classes = cut_lineage(classes.join(least_id, "component").select(F.col("node").alias("of"), "component_id"))
@@ -234,8 +324,15 @@ def deduplicated(docs: DataFrame, words: int = 5, least: int = 80, identifier: s
     """The rows of ``docs`` that stay: one of each group, all columns kept; of rows equal in id and text, one.
 
     Decided by row: null and repeated ids name no group."""
-    keyed = docs.withColumn("_row", row_key(identifier, text))
-    verdict = near_duplicates(keyed, words, least, "_row", text)
-    gone = verdict.where("not kept").select(F.col("_row").alias("_gone")).distinct()
-    stay = keyed.join(gone, F.col("_row").eqNullSafe(F.col("_gone")), "left_anti")
-    return stay.drop("_row").dropDuplicates([identifier, text])
+    key, gone = "_row", "_gone"
+    while {key, gone} & set(docs.columns):
+        key, gone = f"_{key}", f"_{gone}"
+    keyed = docs.withColumn(key, row_key(identifier, text))
+    verdict = near_duplicates(keyed, words, least, key, text)
+    marked = verdict.groupBy(F.col(key).alias("_of")).agg(
+        F.bool_and("kept").alias("_kept"), (F.count(F.lit(1)) > 1).alias(gone)
+    ).where(~F.col("_kept") | F.col(gone)).select("_of", F.when(~F.col("_kept"), True).otherwise(False).alias(gone))
+    judged = keyed.join(marked, F.col(key).eqNullSafe(F.col("_of")), "left")
+    single = judged.where(F.col(gone).isNull())
+    repeated = judged.where(~F.col(gone)).dropDuplicates([identifier, text])
+    return single.unionByName(repeated).select(*docs.columns)

@@ -1,6 +1,7 @@
 """The numbered operators against brute force, on small tables with nulls, copies, long texts and clashing columns."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -400,3 +401,29 @@ def test_quality_of_held_out_rows(spark, docs, empty):
     assert quality.score(empty, model).count() == 0
     none = quality.train(real, labels.limit(0))
     assert {r["score"] for r in quality.score(docs, none).collect()} == {0.5}
+
+
+def test_near_duplicates_in_blocks_of_every_size(spark, monkeypatch):
+    """Families of half-like texts that share bands, in blocks smaller than a group: components as by brute force, and a column
+    named like the row key stays."""
+    dice = random.Random(4)
+    texts = []
+    for family in range(4):
+        common = [f"f{family}w{i}" for i in range(60)]
+        for member in range(40):
+            own = [f"m{member // 2}x{i}" for i in range(25)]
+            words = common + own
+            if member % 2:
+                words[dice.randrange(5)] = "changed"
+            texts.append(" ".join(words))
+    rows = [(i, t, f"r{i}") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string").repartition(3)
+    sets = [(i, frozenset(shingles(t, 5))) for i, t, _ in rows]
+    roots = classes(sets, lambda x, y: 100 * len(x & y) >= 80 * len(x | y))
+    for block in (8, minhash.BLOCK):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, words=5).collect()}
+        assert got == {i: root for (i, _), root in zip(sets, roots)}
+    kept = minhash.deduplicated(docs, words=5)
+    assert kept.columns == ["doc_id", "text", "_row"]
+    assert {(r["doc_id"], r["_row"]) for r in kept.collect()} == {(i, f"r{i}") for i in set(roots)}
