@@ -11,8 +11,9 @@ shares most bands with, so families join up by few comparisons. What remains are
 hold two components: their nodes travel with their registers in blocks of ``BLOCK`` a side, and a task
 gives only the pairs of different components whose sizes allow the similarity and whose estimate,
 corrected for chance matches of registers, is within ``SLACK`` deviations of it, each in the first band
-that the two share. No pair is a row before its estimate. Such pairs are confirmed on the full sets,
-read again from the texts.
+that the two share. No pair is a row: a task gives its likely pairs in packets of nodes whose sets hold
+about ``PACKET`` shingles a side, and the full sets, read again from the texts, meet packet by packet. A
+packet gives a forest of its links.
 
 At a similarity of 0.8 a link escapes all 64 bands with a probability below 1e-5, at 0.85 below 1e-8.
 
@@ -38,6 +39,7 @@ _REST = 55  # bits of a hash below those that choose the bucket
 LEADERS = (0, 0x5DEECE66D1234567)  # one for each round with leaders: a group's leader is its least node in the order this gives
 BLOCK, TESTED = 2048, 1 << 13  # nodes of a side of a block, pairs estimated at once
 SLACK = 4.5
+PACKET = 1 << 20  # shingles of a side of a packet; a longer set makes a side of its own
 _RANK = np.random.default_rng(7).permuted(np.tile(np.arange(REGISTERS, dtype=np.int16), (REGISTERS, 1)), axis=1)
 
 
@@ -174,7 +176,7 @@ def _led(groups: DataFrame, info: DataFrame, order: int, least: int) -> DataFram
 
 
 def _compare(least: int):
-    """Rows of one (band, low, high) follow each other; gives the likely pairs of each block."""
+    """Rows of one (band, low, high) follow each other; gives the likely pairs of each block in packets."""
 
     def tests(rows: pa.RecordBatch):
         """The places of pairs of different components whose sizes allow the similarity."""
@@ -203,36 +205,35 @@ def _compare(least: int):
         sketches = _sketches(rows.column(8))
         keys = band_keys(sketches)
         turn = int(np.flatnonzero(keys[0] == np.uint64(rows.column(0)[0].as_py() & (1 << 64) - 1))[0])
+        found = []
         for a, b in tests(rows):
             good = _passes(sketches[a], sketches[b], n[a], n[b], np.minimum(filled[a], filled[b]), least)
             a, b = a[good], b[good]
             new = ~(keys[a, :turn] == keys[b, :turn]).any(axis=1)
-            a, b = a[new], b[new]
-            if len(a):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[a]), pa.array(node[b]), pa.array(n[a]), pa.array(n[b])], names=["a", "b", "n_a", "n_b"]
-                )
-
-    def work(batches):
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if rest is not None:
-                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-            marks = np.stack([batch.column(i).to_numpy() for i in range(3)])
-            starts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist()]
-            for start, end in zip(starts[:-1], starts[1:]):
-                yield from group(batch.slice(start, end - start))
-            rest = batch.slice(starts[-1])
-        if rest is not None:
-            yield from group(rest)
-
-    return work
+            found.append(np.stack([a[new], b[new]], axis=1))
+        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        if not len(pairs):
+            return
+        used = np.unique(pairs)
+        used = used[np.argsort(n[used], kind="stable")]
+        tile = np.empty(len(n), np.int64)
+        tile[used] = (np.cumsum(n[used]) - n[used]) // PACKET
+        part = tile[pairs[:, 0]] * (tile[used[-1]] + 1) + tile[pairs[:, 1]]
+        pairs = pairs[np.argsort(part, kind="stable")]
+        for k, own in enumerate(np.split(pairs, np.cumsum(np.unique(part, return_counts=True)[1])[:-1])):
+            inside, places = np.unique(own, return_inverse=True)
+            marks = [rows.column(i).slice(0, 1) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [*marks, pa.array([k], pa.int32()), pa.array([node[inside]], pa.list_(pa.int64())),
+                 pa.array([places.reshape(-1, 2).astype(np.int32).tobytes()], pa.binary())],
+                names=["band", "low", "high", "part", "nodes", "pairs"],
+            )
+
+    return lambda batches: _by_key(batches, 3, group)
 
 
 def _blocks(groups: DataFrame, nodes: DataFrame, info: DataFrame, least: int) -> DataFrame:
-    """The likely pairs (a, b, n_a, n_b) of different components, each once, of all groups that hold two components."""
+    """Packets of the likely pairs of different components, each once, of all groups that hold two components."""
     here = groups.join(info.select("node", "component"), "node")
     split = (
         here.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("rows"))
@@ -247,15 +248,85 @@ def _blocks(groups: DataFrame, nodes: DataFrame, info: DataFrame, least: int) ->
         "band", "low", "high", "node", "side", "component", "n", "filled", "sketch"
     )
     ordered = rich.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    return ordered.mapInArrow(_compare(least), "a long, b long, n_a long, n_b long")
+    return ordered.mapInArrow(_compare(least), "band long, low int, high int, part int, nodes array<long>, pairs binary")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, least: int) -> DataFrame:
-    """The pairs whose full sets have the similarity; sets are made from the texts of the nodes' documents."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def _by_key(batches, keys: int, work):
+    """Hands on all rows that agree in the first columns at once; such rows follow each other."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if rest is not None:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        marks = np.stack([batch.column(i).to_numpy() for i in range(keys)])
+        starts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist()]
+        for start, end in zip(starts[:-1], starts[1:]):
+            yield from work(batch.slice(start, end - start))
+        rest = batch.slice(starts[-1])
+    if rest is not None:
+        yield from work(rest)
+
+
+def _forest(least: int):
+    """The head of a packet (its pairs) and the sets of its nodes; gives links that join what all its links join."""
+
+    def packet(rows: pa.RecordBatch):
+        pairs = np.frombuffer(rows.column(7)[0].as_py(), np.int32).reshape(-1, 2)
+        rows = rows.slice(1)
+        node, sets = rows.column(5).to_numpy(), rows.column(6)
+        size = sets.value_lengths().to_numpy().astype(np.int64)
+        start = np.cumsum(size) - size
+        held = np.unique(sets.flatten().to_numpy(), return_inverse=True)[1]
+        inside, root, links = np.zeros(len(held) + 1, bool), np.arange(len(node)), []
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        firsts, counts = np.unique(pairs[:, 0], return_counts=True)
+        for a, others in zip(firsts.tolist(), np.split(pairs[:, 1], np.cumsum(counts)[:-1])):
+            others = others[root[others] != root[a]]
+            if not len(others):
+                continue
+            own = held[start[a] : start[a] + size[a]]
+            inside[own] = True
+            met = inside[np.concatenate([held[start[b] : start[b] + size[b]] for b in others])]
+            shared = np.add.reduceat(met.astype(np.int64), np.cumsum(size[others]) - size[others])
+            inside[own] = False
+            for b in others[100 * shared >= least * (size[a] + size[others] - shared)].tolist():
+                if root[b] != root[a]:
+                    links.append((a, b))
+                    root[root == root[b]] = root[a]
+        if links:
+            a, b = node[np.array(links)].T
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return lambda batches: _by_key(batches, 4, packet)
+
+
+def _held(asked: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of the nodes asked for, made from the texts of their documents; a stored table."""
     ids = nodes.join(asked, "node").select(F.col("id").alias("of")).distinct()
     held = _sets(docs.join(ids, F.col("id").eqNullSafe(F.col("of")), "left_semi").select("id", "text"), size, False)
-    held = cut_lineage(held.join(asked, "node", "left_semi").dropDuplicates(["node"]))
+    return cut_lineage(held.join(asked, "node", "left_semi").dropDuplicates(["node"]))
+
+
+def _confirmed_in_packets(packets: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, least: int) -> DataFrame:
+    """Links (a, b) that join all that the pairs of ``packets`` with the similarity join."""
+    held = _held(packets.select(F.explode("nodes").alias("node")).distinct(), docs, nodes, size)
+    key = ["band", "low", "high", "part"]
+    heads = packets.select(
+        *key, F.lit(-1).alias("place"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("array<long>").alias("shingles"), "pairs"
+    )
+    members = packets.select(*key, F.posexplode("nodes").alias("place", "node")).join(held, "node").select(
+        *key, "place", "node", "shingles", F.lit(None).cast("binary").alias("pairs")
+    )
+    ordered = heads.unionByName(members).repartition(*key).sortWithinPartitions(*key, "place")
+    links = cut_lineage(ordered.mapInArrow(_forest(least), "a long, b long"))
+    forget(held)
+    return links
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, least: int) -> DataFrame:
+    """The pairs whose full sets have the similarity; sets are made from the texts of the nodes' documents."""
+    held = _held(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), docs, nodes, size)
     joined = (
         pairs.join(held.withColumnRenamed("shingles", "set_b"), F.col("b") == F.col("node")).drop("node")
         .join(held.withColumnRenamed("shingles", "set_a"), F.col("a") == F.col("node"))
@@ -289,10 +360,11 @@ def near_duplicates(
             info = known.join(labels, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
         if order is None:
             pairs, likely = None, cut_lineage(_blocks(groups, nodes, info, least))
+            found = _confirmed_in_packets(likely, docs, nodes, words, least)
         else:
             pairs = cut_lineage(_led(groups, info, order, least))
             likely = cut_lineage(_likely(pairs, nodes, least))
-        found = _confirmed(likely, docs, nodes, words, least)
+            found = _confirmed(likely, docs, nodes, words, least)
         spent.append(found)
         links = found if links is None else links.unionByName(found)
         before, labels = labels, components(links)

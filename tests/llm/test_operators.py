@@ -420,8 +420,10 @@ def test_near_duplicates_in_blocks_of_every_size(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _row string").repartition(3)
     sets = [(i, frozenset(shingles(t, 5))) for i, t, _ in rows]
     roots = classes(sets, lambda x, y: 100 * len(x & y) >= 80 * len(x | y))
-    for block in (8, minhash.BLOCK):
+    monkeypatch.setattr(minhash, "LEADERS", ())  # blocks and packets find all
+    for block, packet in ((8, 200), (minhash.BLOCK, minhash.PACKET)):
         monkeypatch.setattr(minhash, "BLOCK", block)
+        monkeypatch.setattr(minhash, "PACKET", packet)
         got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, words=5).collect()}
         assert got == {i: root for (i, _), root in zip(sets, roots)}
     kept = minhash.deduplicated(docs, words=5)
