@@ -1,27 +1,28 @@
-"""Language-model scores from Elias-Fano n-gram tries, sharded by context.
+"""Language-model scores from Elias-Fano n-gram tries, sharded by context and successor.
 
 The model is a bigram model with absolute discounting and back-off: a seen pair has the probability
 (c(v, w) - D) / c(v); an unseen one D * types(v) / c(v) times the unigram (c(w) + 1) / (N + V + 1); after
-a context that training does not hold, the unigram alone. Log probabilities are kept as 16-bit steps.
-
-Texts are packed by chunk and shard of the context word and shuffled once. A shard's trie has two levels:
-contexts, with pointers to their successors, and successors relative to their context; keys and
-pointers are monotone and held as Elias-Fano sequences in memory. The shard counts the pairs of
-training texts into its trie, then answers all pairs of all texts by successor search and gives one
-sum for each text of a chunk. A word's count as a context is its unigram count, so the same answer
-gives the base score. Only unseen pairs ask for their second word, in a join with the counts.
-
-Words that would fill a fair part of a shard are split by their successors. Their pairs are counted before,
-so each part knows the word's total and types, whether or not it holds the word. Pairs that would fill a
-part by themselves are dealt by chunk and answered from those counts.
+a context that training does not hold, the unigram alone. Log counts and back-off weights are kept in 16-bit steps.
+
+Texts are packed in chunks: the chunk's words and the places of each text in them, a stored table. A chunk
+asks for each of its distinct words and pairs once, and says how often training texts hold it; questions of
+a chunk and shard travel together. A shard of pairs adds up the counts into its trie: contexts, pointers to
+their successors, and successors relative to their context, all monotone and held as Elias-Fano sequences.
+A question finds its context, reads begin and end of its successors from the pointers and looks for the
+successor between them; sequences are never unpacked. A shard of words adds up words' counts and the types
+that the shards of pairs found. Answers go back to their chunk, which adds them up for each text.
+
+A context is dealt over a sixteenth of the shards by its successors, whatever its count, and a pair is one
+question a chunk, so no word, pair or text fills a shard; only sums of counts reach the driver.
 Counts of all texts are used; nothing is pruned, so the model grows with the corpus.
 
-Defined results: a null or empty text is its end token alone; rows equal in id and text have equal
-scores; an empty training set leaves the unigram 1 / (N + V + 1); other columns are not read.
+Defined results: a null or empty text is its end token alone; repeated rows are rows of their own with
+equal scores; an empty training set leaves the unigram 1 / (N + V + 1); other columns are not read.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
@@ -35,348 +36,403 @@ from .words import byte_texts, chunks, hash_texts, mix
 
 START, END = np.uint64(0x51ED270B0A1F39C7), np.uint64(0x8A3C5D7E91B24F60)
 DISCOUNT = 0.75
-SHARD = 1_500_000  # pairs of a shard, about
+SHARD = 1_500_000  # questions of a shard, about
+SPREAD = 16  # a context is dealt over one in so many shards
 CHUNK = 16 << 20  # bytes of texts packed together; a longer text makes a chunk of its own
-STEP = 1 / 2048  # of a stored log10 probability
+STEP = 1 / 2048  # of a stored log10
+KEY = 40  # bits of a successor's hash that tell it from the others of its context
+ASKED = 1 << 16  # numbers looked up at once
+
+_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
+_COUNT = _BITS.sum(axis=1).astype(np.int64)
+_PLACE = np.argsort(1 - _BITS, axis=1, kind="stable")  # of the k-th one of a byte
 
 
 class EliasFano:
-    """A monotone sequence of numbers below 2^63: low bits packed, high bits in unary."""
+    """A monotone sequence of numbers below 2^63: low bits packed, high bits in unary with counts every 64 bits."""
 
     def __init__(self, values: np.ndarray):
         self.n = len(values)
         top = int(values[-1]) if self.n else 0
-        self.low = max(0, (top // max(1, self.n)).bit_length() - 1)
-        bits = ((values[:, None] >> np.arange(self.low, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-        self.lows = np.packbits(bits)
-        unary = np.zeros((top >> self.low) + self.n + 1, np.uint8)
+        self.low = min(56, max(0, (top // max(1, self.n)).bit_length() - 1))
+        self.top = top >> self.low
+        places = np.arange(self.low, dtype=np.uint64)
+        packed = [
+            np.packbits(((values[at : at + ASKED, None] >> places) & np.uint64(1)).astype(np.uint8), bitorder="little")
+            for at in range(0, self.n, ASKED)
+        ]
+        self.lows = np.concatenate([*packed, np.zeros(8, np.uint8)])
+        unary = np.zeros(-(-(self.top + self.n + 1) // 64) * 64, np.uint8)
         unary[(values >> np.uint64(self.low)).astype(np.int64) + np.arange(self.n)] = 1
-        self.highs = np.packbits(unary)
-
-    def values(self, start: int = 0, end: int | None = None) -> np.ndarray:
-        """The numbers from ``start`` to ``end``."""
-        end = self.n if end is None else min(end, self.n)
-        start = min(start, end)
-        high = np.flatnonzero(np.unpackbits(self.highs))[start:end] - np.arange(start, end)
-        bits = np.unpackbits(self.lows, count=self.n * self.low).reshape(self.n, self.low)[start:end]
-        low = bits.astype(np.uint64) @ (np.uint64(1) << np.arange(self.low, dtype=np.uint64))
-        return (high.astype(np.uint64) << np.uint64(self.low)) | low
-
-    def successor(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of the first number not below each wanted one, and whether it is the wanted one."""
-        if not self.n:
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        held = self.values()
-        at = np.searchsorted(held, wanted)
-        return at, held[np.minimum(at, self.n - 1)] == wanted
+        self.highs = np.packbits(unary, bitorder="little").reshape(-1, 8)
+        held = _COUNT[self.highs].sum(axis=1)
+        self.ones = np.concatenate([[0], np.cumsum(held)[:-1]])
+        self.zeros = 64 * np.arange(len(held)) - self.ones
+
+    def _select(self, rank: np.ndarray, one: bool) -> np.ndarray:
+        """Position of the one or zero of each rank in the high bits."""
+        before = self.ones if one else self.zeros
+        word = np.searchsorted(before, rank, side="right") - 1
+        held = self.highs[word] if one else ~self.highs[word]
+        upto = np.cumsum(_COUNT[held], axis=1)
+        rest = rank - before[word]
+        byte = (upto <= rest[:, None]).sum(axis=1)
+        line = np.arange(len(rank))
+        own = held[line, byte]
+        return 64 * word + 8 * byte + _PLACE[own, rest - upto[line, byte] + _COUNT[own]]
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The numbers at the places."""
+        high = (self._select(places, True) - places).astype(np.uint64)
+        if not self.low:
+            return high
+        bit = places * self.low
+        window = np.ndarray((len(self.lows) - 7,), "<u8", self.lows, strides=(1,))
+        low = (window[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.low) - 1)
+        return (high << np.uint64(self.low)) | low
+
+    def _below(self, high: np.ndarray) -> np.ndarray:
+        """How many numbers have smaller high bits."""
+        out = np.where(high > self.top, self.n, 0)
+        inner = (high > 0) & (high <= self.top)
+        out[inner] = self._select(high[inner] - 1, False) - (high[inner] - 1)
+        return out
+
+    def successor(self, wanted: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the first number in [begin, end) not below each wanted one, and whether it is the wanted one."""
+        end = self.n if end is None else end
+        begin, end = (np.broadcast_to(x, len(wanted)) for x in (begin, end))
+        place, found = np.empty(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        for a in range(0, len(wanted), ASKED):
+            part = slice(a, a + ASKED)
+            place[part], found[part] = self._successor(wanted[part], begin[part], end[part])
+        return place, found
+
+    def _successor(self, wanted: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        high = (wanted >> np.uint64(self.low)).astype(np.int64)
+        low, last = np.clip(self._below(high), begin, end), np.clip(self._below(high + 1), begin, end)
+        open_ = np.flatnonzero(low < last)
+        while len(open_):
+            middle = (low[open_] + last[open_]) // 2
+            less = self.at(middle) < wanted[open_]
+            low[open_[less]] = middle[less] + 1
+            last[open_[~less]] = middle[~less]
+            open_ = open_[low[open_] < last[open_]]
+        found = np.zeros(len(wanted), bool)
+        here = np.flatnonzero(low < end)
+        found[here] = self.at(low[here]) == wanted[here]
+        return low, found
 
 
 def _steps(logs: np.ndarray) -> np.ndarray:
     return np.minimum(np.round(-logs / STEP), 65535).astype(np.uint16)
 
 
-def _backoff(types: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Steps of the back-off weight, 0 where training does not hold the context."""
-    share = np.minimum(DISCOUNT * np.maximum(types, 1) / np.maximum(total, 1), 1.0)
-    return _steps(np.log10(np.where(total > 0, share, 1.0)))
-
-
-class Hot:
-    """Split contexts (word, training count, training types, parts) and pairs dealt by chunk (first, second, training count)."""
-
-    def __init__(self, words: list[tuple[int, int, int, int]], pairs: list[tuple[int, int, int]]):
-        words = sorted(words)
-        self.names = np.array([w[0] for w in words], np.uint64)
-        self.total, self.types, self.parts = (np.array([w[i] for w in words], np.int64) for i in (1, 2, 3))
-        self.backoff = _backoff(self.types, self.total)
-        first, second = (np.array([x[i] for x in pairs], np.uint64) for i in (0, 1))
-        order = np.argsort(self._key(first, second))
-        self.first, self.second = first[order], second[order]
-        self.keys = self._key(self.first, self.second)
-        count = np.array([x[2] for x in pairs], np.int64)[order]
-        total = self.total[self.contexts(self.first)[0]] if len(pairs) else count
-        self.seen = count > 0
-        self.steps = _steps(np.log10(np.where(self.seen, (count - DISCOUNT) / np.maximum(total, 1), 1.0)))
-
-    @staticmethod
-    def _key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return mix(first, 9) ^ second
-
-    def contexts(self, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each context, and whether it is a split one."""
-        if not len(self.names):
-            return np.zeros(len(first), np.int64), np.zeros(len(first), bool)
-        at = np.minimum(np.searchsorted(self.names, first), len(self.names) - 1)
-        return at, self.names[at] == first
-
-    def pairs(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each pair, and whether it is dealt by chunk."""
-        if not len(self.keys):
-            return np.zeros(len(first), np.int64), np.zeros(len(first), bool)
-        at = np.minimum(np.searchsorted(self.keys, self._key(first, second)), len(self.keys) - 1)
-        return at, (self.first[at] == first) & (self.second[at] == second)
+class Trie:
+    """Contexts, their successors and the log10 of their discounted counts, from the counted pairs of a shard.
 
+    Successors are given by ``KEY`` bits; pairs of no training text are not held."""
 
-class Trie:
-    """Contexts, their successors and quantised probabilities, from training pairs of one shard."""
+    UNSEEN = 65535
 
-    def __init__(self, first: np.ndarray, second: np.ndarray, hot: Hot):
-        self.hot = hot
-        dealt = hot.pairs(first, second)[1]
-        first, second = first[~dealt], second[~dealt]
+    def __init__(self, first: np.ndarray, second: np.ndarray, count: np.ndarray):
+        first, second, count = first[count > 0], second[count > 0], count[count > 0]
         order = np.lexsort((second, first))
-        first, second = first[order], second[order]
+        first, second, count = first[order], second[order], count[order]
         new = np.ones(len(first), bool)
         new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
         at = np.flatnonzero(new)
-        counts = np.diff(np.append(at, len(first)))
+        count = np.add.reduceat(count, at) if len(at) else count
         first, second = first[at], second[at]
-        names, begins = np.unique(first, return_index=True)
+        self.names, begins = np.unique(first, return_index=True)
         ends = np.append(begins[1:], len(first))
-        self.contexts = EliasFano(names >> np.uint64(1))
+        self.types = (ends - begins).astype(np.int64)
+        self.contexts = EliasFano(self.names >> np.uint64(1))
         self.pointers = EliasFano(np.append(begins, len(first)).astype(np.uint64))
-        types = (ends - begins).astype(float)
-        total = np.add.reduceat(counts, begins).astype(float) if len(begins) else np.empty(0)
-        at, split = hot.contexts(names)
-        total[split], types[split] = hot.total[at[split]], hot.types[at[split]]
-        self.totals = total.astype(np.int64)
-        owner = np.repeat(np.arange(len(names)), ends - begins).astype(np.uint64)
-        # A successor's key is its context's place, then the top bits of its hash.
-        self.width = 62 - max(1, len(names)).bit_length()
-        self.successors = EliasFano((owner << np.uint64(self.width)) | (second >> np.uint64(64 - self.width)))
-        self.seen = _steps(np.log10((counts - DISCOUNT) / np.repeat(total, ends - begins)))
-        self.backoff = _backoff(types, total)
-
-    def ask(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(count of the context, log10 of the pair or of its back-off, whether the pair is seen)."""
-        place, known = self.contexts.successor(first >> np.uint64(1))
+        owner = np.repeat(np.arange(len(self.names), dtype=np.uint64), self.types)
+        self.successors = EliasFano((owner << np.uint64(KEY)) | second)
+        # One step is added for counts of one, whose discounted log10 is negative.
+        self.logs = np.round((np.log10(count - DISCOUNT) + 1) / STEP).astype(np.uint16)
+
+    def ask(self, names: np.ndarray, sizes: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Steps of the log10 of a tenfold discounted count, or ``UNSEEN``; ``sizes`` questions follow each context."""
+        out = np.full(len(second), self.UNSEEN, np.uint16)
+        if not self.contexts.n:
+            return out
+        place, known = self.contexts.successor(names >> np.uint64(1))
         place = np.where(known, place, 0)
-        count, logs, seen = np.zeros(len(first), np.int64), np.zeros(len(first)), np.zeros(len(first), bool)
-        if self.contexts.n:
-            count = np.where(known, self.totals[place], 0)
-            key = (place.astype(np.uint64) << np.uint64(self.width)) | (second >> np.uint64(64 - self.width))
-            at, found = self.successors.successor(key)
-            seen = known & found
-            logs = -STEP * np.where(seen, self.seen[np.where(seen, at, 0)].astype(float), np.where(known, self.backoff[place].astype(float), 0.0))
-        at, split = self.hot.contexts(first)
-        count[split] = self.hot.total[at[split]]
-        at, away = at[split & ~seen], split & ~seen
-        logs[away] = -STEP * self.hot.backoff[at]
-        at, dealt = self.hot.pairs(first, second)
-        dealt &= self.hot.seen[at] if len(self.hot.seen) else False
-        seen |= dealt
-        logs[dealt] = -STEP * self.hot.steps[at[dealt]]
-        return count, logs, seen
-
-
-def _chunks(batches):
-    """(rows, marks, words, bounds) of runs of texts in batches (row, train, text)."""
-    for batch in batches:
-        texts = byte_texts(batch.column(2))
-        rows, train = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-        for a, b in chunks(texts, CHUNK):
-            words, bounds = hash_texts(texts[a:b])
-            yield rows[a:b], train[a:b], words, bounds
+        begin = self.pointers.at(place).astype(np.int64)
+        end = np.where(known, self.pointers.at(place + 1).astype(np.int64), begin)
+        owner, begin, end = (np.repeat(x, sizes) for x in (place, begin, end))
+        at, found = self.successors.successor((owner.astype(np.uint64) << np.uint64(KEY)) | second, begin, end)
+        out[found] = self.logs[at[found]]
+        return out
 
 
-def _counts(docs: DataFrame) -> DataFrame:
-    """(word, count, every): occurrences in training texts and in all texts, the end token included."""
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Compressed arrays; equal bytes of numbers side by side compress far better."""
+    head = [len(arrays)]
+    for x in arrays:
+        head += [len(x), ord(x.dtype.char)]
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() for x in arrays]
+    return zlib.compress(np.array(head, np.int64).tobytes() + b"".join(planes), 1)
 
-    def work(batches):
-        for rows, train, words, bounds in _chunks(batches):
-            marks = np.repeat(train, np.diff(bounds))
-            names, at = np.unique(words, return_inverse=True)
-            names = np.append(names, END).view(np.int64)
-            known = np.append(np.bincount(at, marks, minlength=len(names) - 1)[: len(names) - 1], train.sum()).astype(np.int64)
-            every = np.append(np.bincount(at, minlength=len(names) - 1)[: len(names) - 1], len(rows)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(known), pa.array(every)], names=["word", "count", "every"])
-
-    made = docs.mapInArrow(work, "word long, count long, every long")
-    return made.groupBy("word").agg(F.sum("count").alias("count"), F.sum("every").alias("every"))
-
-
-def _pairs(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, second, pairs of each text) of all texts of a chunk."""
-    sizes = np.diff(bounds) + 1
-    ends = np.cumsum(sizes)
-    second = np.empty(int(ends[-1]), np.uint64)
-    inside = np.ones(len(second), bool)
-    inside[ends - 1] = False
-    second[inside], second[~inside] = words, END
-    first = np.concatenate([[START], second[:-1]]).astype(np.uint64)
-    first[ends - sizes] = START
-    return first, second, sizes
-
-
-def _pair_counts(docs: DataFrame, hot: Hot) -> DataFrame:
-    """(first, second, count, every): occurrences of the pairs of split contexts in training texts and in all texts."""
 
-    def work(batches):
-        for _, train, words, bounds in _chunks(batches):
-            first, second, sizes = _pairs(words, bounds)
-            at, split = hot.contexts(first)
-            marks = np.repeat(train, sizes)[split]
-            at, second = at[split], second[split]
-            order = np.lexsort((second, at))
-            at, second, marks = at[order], second[order], marks[order]
-            new = np.ones(len(at), bool)
-            new[1:] = (at[1:] != at[:-1]) | (second[1:] != second[:-1])
-            begins = np.flatnonzero(new)
-            known = np.add.reduceat(marks.astype(np.int64), begins) if len(begins) else np.empty(0, np.int64)
-            every = np.diff(np.append(begins, len(at)))
-            arrays = hot.names[at[begins]].view(np.int64), second[begins].view(np.int64), known, every
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], names=["first", "second", "count", "every"])
-
-    made = docs.mapInArrow(work, "first long, second long, count long, every long")
-    return made.groupBy("first", "second").agg(F.sum("count").alias("count"), F.sum("every").alias("every"))
-
-
-def _packed(docs: DataFrame, shards: int, hot: Hot) -> DataFrame:
-    """(shard, pairs): compressed (rows, marks, row of each pair, words, first, second) of each chunk and shard."""
+def _unpack(blob: bytes) -> list[np.ndarray]:
+    data = zlib.decompress(blob)
+    count = int(np.frombuffer(data, np.int64, 1)[0])
+    head = np.frombuffer(data, np.int64, 2 * count, 8).reshape(-1, 2).tolist()
+    at, out = 8 + 16 * count, []
+    for size, char in head:
+        kind = np.dtype(chr(char))
+        plane = np.frombuffer(data, np.uint8, size * kind.itemsize, at).reshape(kind.itemsize, size)
+        out.append(np.ascontiguousarray(plane.T).view(kind).ravel())
+        at += size * kind.itemsize
+    return out
+
+
+class Chunk:
+    """Texts as places in a vocabulary that starts with the tokens of a text's begin and end."""
+
+    def __init__(self, vocabulary: np.ndarray, code: np.ndarray, sizes: np.ndarray):
+        self.vocabulary, self.code, self.sizes = vocabulary, code, sizes
+
+    @staticmethod
+    def of(words: np.ndarray, bounds: np.ndarray) -> Chunk:
+        vocabulary, code = np.unique(words, return_inverse=True)
+        return Chunk(np.concatenate([[START, END], vocabulary]).astype(np.uint64), (code + 2).astype(np.uint32), np.diff(bounds).astype(np.uint32))
+
+    def tokens(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, context, word) of each token, the last one of a text being its end."""
+        sizes = self.sizes.astype(np.int64) + 1
+        ends = np.cumsum(sizes)
+        second = np.ones(int(ends[-1]), np.int64)
+        inside = np.ones(len(second), bool)
+        inside[ends - 1] = False
+        second[inside] = self.code
+        first = np.concatenate([[0], second[:-1]])
+        first[ends - sizes] = 0
+        return np.repeat(np.arange(len(sizes)), sizes), first, second
+
+    def pairs(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(context, word) of the distinct pairs, and the pair of each token."""
+        pair, at = np.unique(first * len(self.vocabulary) + second, return_inverse=True)
+        return pair // len(self.vocabulary), pair % len(self.vocabulary), at
+
+    def dealt(self, first: np.ndarray, second: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, shard, bounds) of pairs by shard, context and word."""
+        name, word = self.vocabulary[first], self.vocabulary[second]
+        part = mix(word, 7) % np.uint64(-(-shards // SPREAD))
+        shard = (mix(name + part * np.uint64(0x9E3779B97F4A7C15), 8) % np.uint64(shards)).astype(np.int64)
+        return _cut(np.lexsort((word, name, shard)), shard)
+
+    def dealt_words(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _cut_words(self.vocabulary, shards)
+
+
+def _cut(order: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    shard = shard[order]
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1]).astype(np.int64)
+    return order, shard[starts], np.append(starts, len(shard))
+
+
+def _cut_words(words: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    shard = (mix(words, 11) % np.uint64(shards)).astype(np.int64)
+    return _cut(np.lexsort((words, shard)), shard)
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """(chunk, ids, train, n_words, n_pairs, body) of rows (id, train, text)."""
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def listed(values):
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
     def work(batches):
-        for rows, train, words, bounds in _chunks(batches):
-            first, second, sizes = _pairs(words, bounds)
-            row = np.repeat(np.arange(len(rows), dtype=np.uint32), sizes)
-            part = np.zeros(len(first), np.uint64)
-            at, split = hot.contexts(first)
-            part[split] = mix(second[split], 7) % hot.parts[at[split]].astype(np.uint64)
-            at, dealt = hot.pairs(first, second)
-            part[dealt] = mix(hot.keys[at[dealt]] + np.uint64(rows[0] & 0x7FFFFFFFFFFFFFFF), 10)
-            shard = (mix(first + part * np.uint64(0x9E3779B97F4A7C15), 8) % np.uint64(shards)).astype(np.int64)
-            order = np.lexsort((second, first, shard))
-            shard, first, second, row = shard[order], first[order], second[order], row[order]
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]])
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                here, name = np.unique(row[a:b], return_inverse=True)
-                vocabulary, code = np.unique(np.concatenate([first[a:b], second[a:b]]), return_inverse=True)
-                code = code.astype(np.uint32)
-                arrays = (rows[here], train[here].astype(np.uint8), name.astype(np.uint32), vocabulary,
-                          np.diff(code[: b - a], prepend=np.uint32(0)), code[b - a :])
-                head = np.array([len(x) for x in arrays], np.int64).tobytes()
-                # Equal bytes of numbers side by side compress far better.
-                planes = [np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes() for x in arrays]
+        for batch in batches:
+            texts = byte_texts(batch.column(2))
+            for a, b in chunks(texts, CHUNK):
+                one = Chunk.of(*hash_texts(texts[a:b]))
+                _, first, second = one.tokens()
+                pairs = len(np.unique(first * len(one.vocabulary) + second))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(shard[a])], pa.int32()), pa.array([zlib.compress(head + b"".join(planes), 1)], pa.binary())], names=["shard", "pairs"]
+                    [pa.array([uuid.uuid4().hex]), listed(pa.concat_arrays([batch.column(0).slice(a, b - a)])),
+                     listed(pa.concat_arrays([batch.column(1).slice(a, b - a)])), pa.array([len(one.vocabulary)], pa.int64()),
+                     pa.array([pairs], pa.int64()), pa.array([_pack(one.vocabulary, one.code, one.sizes)], pa.binary())],
+                    names=["chunk", "ids", "train", "n_words", "n_pairs", "body"],
                 )
 
-    return docs.mapInArrow(work, "shard int, pairs binary")
+    return docs.mapInArrow(work, f"chunk string, ids array<{kind}>, train array<boolean>, n_words long, n_pairs long, body binary")
 
 
-_TYPES = (np.int64, np.uint8, np.uint32, np.uint64, np.uint32, np.uint32)
+_DEALT = "shard int, chunk string, body binary"
 
 
-def _unpack(blob: bytes) -> list[np.ndarray]:
-    data = zlib.decompress(blob)
-    at, out = 8 * len(_TYPES), []
-    for size, kind in zip(np.frombuffer(data, np.int64, len(_TYPES)).tolist(), _TYPES):
-        width = np.dtype(kind).itemsize
-        plane = np.frombuffer(data, np.uint8, size * width, at).reshape(width, size)
-        out.append(np.ascontiguousarray(plane.T).view(kind).ravel())
-        at += size * width
-    rows, train, name, vocabulary, first, second = out
-    return [rows, train.astype(bool), name, vocabulary[np.cumsum(first, dtype=np.uint32)], vocabulary[second]]
+def _dealt(shard, chunk, body) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([int(shard)], pa.int32()), pa.array([chunk], pa.string()), pa.array([body], pa.binary())], names=["shard", "chunk", "body"])
+
 
+def _each_chunk(batches):
+    """(name, marks of training texts, chunk) of rows (chunk, train, body)."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.column(0)[i].as_py(), np.array(batch.column(1)[i].as_py(), bool), Chunk(*_unpack(batch.column(2)[i].as_py()))
 
-def _answers(packed: DataFrame, hot: Hot) -> DataFrame:
-    """(row, word, times, known, base, logs): sums for each row of a shard and chunk, word null; and,
-    with these null, the second words of unseen pairs and how often they occur."""
 
-    def work(groups):
-        blobs: list[bytes] = []
-        current = None
-        for batch in groups:
-            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if shard != current and blobs:
-                    yield from answer(blobs)
-                    blobs = []
+def _pair_questions(packed: DataFrame, shards: int) -> DataFrame:
+    def work(batches):
+        for name, train, chunk in _each_chunk(batches):
+            text, first, second = chunk.tokens()
+            a, b, at = chunk.pairs(first, second)
+            count = np.bincount(at, train[text], minlength=len(a)).astype(np.uint32)
+            order, shard, bounds = chunk.dealt(a, b, shards)
+            word, key, count = chunk.vocabulary[a[order]], chunk.vocabulary[b[order]] >> np.uint64(64 - KEY), count[order]
+            for s, x, y in zip(shard.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                names, sizes = np.unique(word[x:y], return_counts=True)
+                yield _dealt(s, name, _pack(names, sizes.astype(np.uint32), key[x:y], count[x:y]))
+
+    return packed.select("chunk", "train", "body").mapInArrow(work, _DEALT)
+
+
+def _word_questions(packed: DataFrame, shards: int) -> DataFrame:
+    def work(batches):
+        for name, train, chunk in _each_chunk(batches):
+            text, _, second = chunk.tokens()
+            count = np.bincount(second, train[text], minlength=len(chunk.vocabulary)).astype(np.uint32)
+            count[0] = train.sum()
+            order, shard, bounds = chunk.dealt_words(shards)
+            words, count = chunk.vocabulary[order], count[order]
+            for s, x, y in zip(shard.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                yield _dealt(s, name, _pack(words[x:y], count[x:y]))
+
+    return packed.select("chunk", "train", "body").mapInArrow(work, _DEALT)
+
+
+def _by_shard(asked: DataFrame, shards: int, answer, schema: str) -> DataFrame:
+    """``answer(shard, [(chunk, body)])`` for all rows of each shard."""
+
+    def work(batches):
+        current, held = None, []
+        for batch in batches:
+            for shard, chunk, body in zip(*(c.to_pylist() for c in batch.columns)):
+                if shard != current and held:
+                    yield from answer(current, held)
+                    held = []
                 current = shard
-                blobs.append(blob)
-        if blobs:
-            yield from answer(blobs)
-
-    def answer(blobs):
-        kept = [(first[marks], second[marks]) for first, second, marks in ((f, s, t[n]) for _, t, n, f, s in map(_unpack, blobs))]
-        trie = Trie(np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept]), hot)
-        del kept
-        for blob in blobs:
-            rows, _, name, first, second = _unpack(blob)
-            count, logs, seen = trie.ask(first, second)
-            word = first != START
-            sums = [np.bincount(name, x, minlength=len(rows)) for x in ((count > 0) & word, np.where(word, np.log10(count + 1.0), 0.0), logs)]
-            yield batch_of(rows, None, None, sums)
-            unseen = np.flatnonzero(~seen)
-            if len(unseen):
-                pair, times = np.unique(np.stack([name[unseen].astype(np.uint64), second[unseen]]), axis=1, return_counts=True)
-                yield batch_of(rows[pair[0].astype(np.int64)], pair[1].view(np.int64), times, None)
-
-    def batch_of(rows, word, times, sums):
-        n = len(rows)
+                held.append((chunk, body))
+        if held:
+            yield from answer(current, held)
+
+    return asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(work, schema)
+
+
+def _answer_pairs(word_shards: int):
+    """Answers for each chunk, and, with the chunk null, (contexts, types) for the shards of words."""
+
+    def answer(shard, rows):
+        asked = [_unpack(body) for _, body in rows]
+        names, sizes, key, count = (np.concatenate([a[i] for a in asked]) for i in range(4))
+        trie = Trie(np.repeat(names, sizes), key, count.astype(np.int64))
+        told = trie.ask(names, sizes, key)
+        at = 0
+        for (chunk, _), one in zip(rows, asked):
+            yield _dealt(shard, chunk, _pack(told[at : at + len(one[2])]))
+            at += len(one[2])
+        if len(trie.names):
+            order, shards, bounds = _cut_words(trie.names, word_shards)
+            for s, x, y in zip(shards.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                yield _dealt(s, None, _pack(trie.names[order[x:y]], trie.types[order[x:y]]))
+
+    return answer
+
+
+def _answer_words(shard, rows):
+    """(counts, steps of the back-off weight) for each chunk, and, with the chunk null, the shard's N and V."""
+    asked = [(chunk, *_unpack(body)) for chunk, body in rows]
+    names = np.unique(np.concatenate([a[1] for a in asked]))
+    level = EliasFano(names >> np.uint64(1))
+    total, types = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+    places = [level.successor(words >> np.uint64(1))[0] for _, words, _ in asked]
+    for (chunk, _, numbers), at in zip(asked, places):
+        np.add.at(types if chunk is None else total, at, numbers.astype(np.int64))
+    share = np.minimum(DISCOUNT * np.maximum(types, 1) / np.maximum(total, 1), 1.0)
+    backoff = _steps(np.log10(np.where(total > 0, share, 1.0)))
+
+    def row(chunk, body, n, v):
+        arrays = [pa.array([int(shard)], pa.int32()), pa.array([chunk], pa.string()), pa.array([body], pa.binary()), pa.array([n], pa.int64()), pa.array([v], pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, names=["shard", "chunk", "body", "n", "v"])
+
+    for (chunk, _, _), at in zip(asked, places):
+        if chunk is not None:
+            yield row(chunk, _pack(total[at], backoff[at]), 0, 0)
+    real = names != START
+    yield row(None, None, int(total[real].sum()), int((total[real] > 0).sum()))
+
+
+def _summed(rows: DataFrame, kind: str, word_shards: int, shards: int, log_all: float) -> DataFrame:
+    """(id, train, n_tokens, n_known, base, score) of rows (chunk, part, shard, ids, train, body): part 0 is the
+    chunk, 1 the answers on its words, 2 those on its pairs; they follow each other."""
+    names = ["id", "train", "n_tokens", "n_known", "base", "score"]
+
+    def score(ids, train, body, answers):
+        chunk = Chunk(*_unpack(body))
+        texts = len(chunk.sizes)
+        text, first, second = chunk.tokens()
+        a, b, at = chunk.pairs(first, second)
+        told = [_unpack(x) for x in answers[1]]
+        order = chunk.dealt_words(word_shards)[0]
+        count, backoff = np.empty(len(order), np.int64), np.empty(len(order), np.uint16)
+        count[order], backoff[order] = (np.concatenate([t[i] for t in told]) for i in (0, 1))
+        steps = np.empty(len(a), np.uint16)
+        steps[chunk.dealt(a, b, shards)[0]] = np.concatenate([_unpack(x)[0] for x in answers[2]])
+        single = np.log10(count + 1.0) - log_all
+        seen = steps != Trie.UNSEEN
+        known = count[a] > 0
+        logs = np.where(
+            seen, steps * STEP - 1 - np.log10(np.maximum(count[a], 1)), single[b] - np.where(known, backoff[a] * STEP, 0.0)
+        )
+        sums = [np.bincount(text, x, minlength=texts) for x in ((count > 0)[second], single[second], logs[at])]
         return pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.nulls(n, pa.int64()) if word is None else pa.array(word, pa.int64()),
-             pa.nulls(n, pa.int64()) if times is None else pa.array(times, pa.int64()),
-             *([pa.nulls(n, pa.float64())] * 3 if sums is None else [pa.array(x.astype(float)) for x in sums])],
-            names=["row", "word", "times", "known", "base", "logs"],
+            [ids, train, pa.array(chunk.sizes.astype(np.int64) + 1), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names=names
         )
 
-    return packed.mapInArrow(work, "row long, word long, times long, known double, base double, logs double")
+    def work(batches):
+        current = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part, body = batch.column(1)[i].as_py(), batch.column(5)[i].as_py()
+                if part == 0:
+                    if current is not None:
+                        yield score(*current)
+                    current = (batch.column(3)[i].values, batch.column(4)[i].values, body, {1: [], 2: []})
+                else:
+                    current[3][part].append(body)
+        if current is not None:
+            yield score(*current)
+
+    return rows.mapInArrow(work, f"id {kind}, train boolean, n_tokens long, n_known long, base double, score double")
 
 
 def score(docs: DataFrame, identifier: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text."""
-    asked = docs.select(
-        F.col(identifier).alias("id"), held_out(identifier, 7, 2).alias("held_out"), F.col(text).alias("text"),
-        F.xxhash64(F.coalesce(F.col(identifier).cast("string"), F.lit("null")), F.coalesce(F.col(text), F.lit("")), F.lit(1)).alias("row"),
-    )
-    read = asked.select("row", (~F.col("held_out")).alias("train"), "text")
-    counts = cut_lineage(_counts(read))
-    n, v, pairs = counts.agg(
-        F.sum("count"), F.sum((F.col("count") > 0).cast("long")), F.sum("every")
-    ).first()
-    n, v, pairs = n or 0, v or 0, pairs or 0
-    end = int(END.view(np.int64))
-    ends = counts.where(F.col("word") == end).select("count", "every").first()
-    c_end, documents = (ends["count"], ends["every"]) if ends else (0, 0)
-    shards = max(1, -(-pairs // SHARD))
-    # Words that fill a fair part of a shard, and pairs that do: at most 4 * pairs / SHARD of each.
-    heavy = counts.where((F.col("every") > SHARD // 4) & (F.col("word") != end)).select("word", "count", "every").collect()
-    split = {r["word"]: (r["count"], -(-4 * r["every"] // SHARD)) for r in heavy}
-    if 4 * documents > SHARD:
-        split[int(START.view(np.int64))] = (c_end, -(-4 * documents // SHARD))
-    unsigned = lambda x: int(np.int64(x).view(np.uint64))
-    hot = Hot([(unsigned(w), count, 0, parts) for w, (count, parts) in split.items()], [])
-    if split:
-        followed = cut_lineage(_pair_counts(read, hot))
-        types = dict(followed.where("count > 0").groupBy("first").count().collect())
-        dealt = followed.where(F.col("every") > SHARD // 4).select("first", "second", "count").collect()
-        hot = Hot(
-            [(unsigned(w), count, types.get(w, 0), parts) for w, (count, parts) in split.items()],
-            [(unsigned(r["first"]), unsigned(r["second"]), r["count"]) for r in dealt],
-        )
-        forget(followed)
-    packed = _packed(read, shards, hot).repartition(shards, "shard").sortWithinPartitions("shard")
-    answers = cut_lineage(_answers(packed, hot))
-    log_all = float(np.log10(n + v + 1))
-    backed = (
-        answers.where("word is not null").join(counts.select(F.col("word").alias("of"), "count"), F.col("word") == F.col("of"))
-        .groupBy("row").agg(F.sum(F.col("times") * (F.log10(F.col("count") + 1.0) - log_all)).alias("tail"))
-    )
-    summed = answers.where("word is null").groupBy("row").agg(F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("logs").alias("logs"))
-    rows = read.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
-    sums = cut_lineage(
-        summed.join(rows, "row").join(backed, "row", "left").select(
-            F.col("row").alias("of"), *[(F.coalesce(c, F.lit(0.0)) / F.col("copies")).alias(c) for c in ("known", "base", "logs", "tail")]
-        )
-    )
-    size = (F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)) + 1).cast("long")
-    result = cut_lineage(
-        asked.select("id", "held_out", "row", size.alias("n_tokens")).join(sums, F.col("row") == F.col("of"), "left").select(
-            F.col("id").alias(identifier), "held_out", "n_tokens",
-            (F.round("known").cast("long") + int(c_end > 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-            (F.col("base") + float(np.log10(c_end + 1)) - F.col("n_tokens") * log_all).alias("base_score"),
-            (F.col("logs") + F.col("tail")).alias("score"),
-        )
-    )
-    for frame in (counts, answers, sums):
+    kind = docs.schema[identifier].dataType.simpleString()
+    packed = cut_lineage(_packed(docs.select(F.col(identifier).alias("id"), (~held_out(identifier, 7, 2)).alias("train"), F.col(text).alias("text"))))
+    words, pairs, parts = packed.agg(F.sum("n_words"), F.sum("n_pairs"), F.count(F.lit(1))).first()
+    word_shards, shards = max(1, -(-(words or 0) // SHARD)), max(1, -(-(pairs or 0) // SHARD))
+    on_pairs = cut_lineage(_by_shard(_pair_questions(packed, shards), shards, _answer_pairs(word_shards), _DEALT))
+    asked = _word_questions(packed, word_shards).unionByName(on_pairs.where("chunk is null"))
+    on_words = cut_lineage(_by_shard(asked, word_shards, _answer_words, f"{_DEALT}, n long, v long"))
+    n, v = on_words.where("chunk is null").agg(F.sum("n"), F.sum("v")).first()
+    n, v = n or 0, v or 0
+    ids, train = (F.lit(None).cast(packed.schema[c].dataType).alias(c) for c in ("ids", "train"))
+    rows = packed.select("chunk", F.lit(0).alias("part"), F.lit(0).alias("shard"), "ids", "train", "body")
+    for part, told in ((1, on_words), (2, on_pairs)):
+        rows = rows.unionByName(told.where("chunk is not null").select("chunk", F.lit(part).alias("part"), "shard", ids, train, "body"))
+    ordered = rows.repartition(max(1, -(-parts // 2)), "chunk").sortWithinPartitions("chunk", "part", "shard")
+    summed = cut_lineage(_summed(ordered, kind, word_shards, shards, float(np.log10(n + v + 1))))
+    for frame in (packed, on_pairs, on_words):
         forget(frame)
-    return result
+    return summed.select(
+        F.col("id").alias(identifier), (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+        F.lit(n).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score",
+    )

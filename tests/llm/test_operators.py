@@ -245,31 +245,56 @@ def test_language_model_of_split_words(spark, monkeypatch, shard):
 
 
 def test_no_shard_holds_a_pair_of_a_fixed_share(spark):
-    """Occurrences of a dealt pair lie in many shards, and its count is known in each."""
-    x, y = np.array([5], np.uint64), np.array([9], np.uint64)
-    hot = language_model.Hot([(5, 100, 2, 3)], [(5, 9, 99)])
-    tries = [language_model.Trie(np.repeat(x, k), np.repeat(y, k), hot) for k in (0, 1, 40)]
-    asked = [[z.tolist() for z in t.ask(np.append(x, x), np.append(y, x))] for t in tries]
-    assert asked[0] == asked[1] == asked[2]
-    assert asked[0][0] == [100, 100] and asked[0][2] == [True, False]
-    texts = spark.createDataFrame([(i, True, " ".join(["a b"] * 50)) for i in range(64)], "row long, train boolean, text string")
+    """A pair is one question a chunk, however often it occurs, and a frequent context lies in many shards."""
+    texts = spark.createDataFrame(
+        [(i, True, " ".join(["a b"] * 500 + [f"a w{i}x{j}" for j in range(40)])) for i in range(64)], "id long, train boolean, text string"
+    )
+    packed = language_model._packed(texts.repartition(8)).collect()
     a, b = (language_model.hash_texts([w])[0].item() for w in (b"a", b"b"))
-    hot = language_model.Hot([(a, 3200, 1, 4)], [(a, b, 3200)])
-    held = Counter()
-    for r in language_model._packed(texts.repartition(64), 50, hot).collect():
-        first, second = language_model._unpack(r["pairs"])[3:]
-        held[r["shard"]] += int(((first == a) & (second == b)).sum())
-    assert sum(held.values()) == 3200 and sum(n > 0 for n in held.values()) > 10
+    repacked = spark.createDataFrame(packed, "chunk string, ids array<long>, train array<boolean>, n_words long, n_pairs long, body binary")
+    questions = language_model._pair_questions(repacked, 64).collect()
+    held, hot = Counter(), []
+    for r in questions:
+        names, sizes, key, count = language_model._unpack(r["body"])
+        first = np.repeat(names, sizes)
+        held[r["shard"]] += int((first == a).sum())
+        hot += count[(first == a) & (key == b >> 64 - language_model.KEY)].tolist()
+    assert sum(hot) == 64 * 500 and len(hot) == len(packed)
+    assert sum(n > 0 for n in held.values()) >= 4 and max(held.values()) < sum(held.values()) / 2
+
+
+def test_trie_looks_among_the_successors_of_the_context():
+    dice = np.random.default_rng(3)
+    first, second = dice.integers(1, 1 << 63, 50).astype(np.uint64)[dice.integers(0, 50, 5000)], dice.integers(0, 300, 5000).astype(np.uint64)
+    count = dice.integers(0, 3, 5000)
+    trie, held = language_model.Trie(first, second, count), Counter()
+    for x, y, c in zip(first.tolist(), second.tolist(), count.tolist()):
+        held[x, y] += c
+    names = np.append(np.unique(first), np.uint64(5))
+    told = trie.ask(names, np.full(len(names), 301), np.tile(np.arange(301, dtype=np.uint64), len(names))).reshape(len(names), 301)
+    for i, x in enumerate(names.tolist()):
+        for y in range(301):
+            if held[x, y]:
+                assert abs(told[i, y] * language_model.STEP - 1 - math.log10(held[x, y] - 0.75)) <= language_model.STEP
+            else:
+                assert told[i, y] == trie.UNSEEN
+    assert {x: int(n) for x, n in zip(trie.names.tolist(), trie.types)} == Counter(x for (x, _), c in held.items() if c)
+    none = language_model.Trie(first[:0], second[:0], count[:0])
+    assert (none.ask(names[:1], np.array([2]), second[:2]) == none.UNSEEN).all()
 
 
 def test_elias_fano():
     dice = np.random.default_rng(1)
-    for values in (dice.integers(0, 1 << 62, 500), np.arange(100), np.array([0, 0, 5, 5, 9]), np.array([7])):
+    for values in (dice.integers(0, 1 << 62, 500), np.arange(100), np.array([0, 0, 5, 5, 9]), np.array([7]), np.array([], np.int64), dice.integers(0, 900, 700)):
         values = np.sort(values).astype(np.uint64)
         held = language_model.EliasFano(values)
-        assert (held.values() == values).all() and (held.values(1, 3) == values[1:3]).all()
-        at, found = held.successor(np.array([values[-1], values[0]], np.uint64))
-        assert found.all() and at[1] == 0
+        assert (held.at(np.arange(len(values))) == values).all()
+        wanted = np.concatenate([values, values + np.uint64(1), dice.integers(0, 1 << 62, 50).astype(np.uint64), np.zeros(1, np.uint64)])
+        at, found = held.successor(wanted)
+        assert (at == np.searchsorted(values, wanted)).all() and (found == np.isin(wanted, values)).all()
+        begin, end = len(values) // 4, len(values) // 2
+        at, found = held.successor(wanted, begin, end)
+        assert (at == begin + np.searchsorted(values[begin:end], wanted)).all() and (found == np.isin(wanted, values[begin:end])).all()
 
 
 def test_mix_fits_its_targets(docs, empty):
