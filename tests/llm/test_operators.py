@@ -184,7 +184,49 @@ def test_license_templates():
     assert labels(grant.format("", "fine piece of work")) == {"mit"}
     assert labels(grant.format("", "very fine piece of work")) == set()
     assert labels(grant.format(" gladly", "software")) == set()
-    assert labels("GNU Lesser General Public License version 3") == {"gpl-3.0"}
+    for name, want in (
+        ("GNU Lesser General Public License version 3", {"lgpl-3.0"}), ("GNU Lesser General Public License, version 2.1", {"lgpl-2.1"}),
+        ("GNU Affero General Public License as published by the Free Software Foundation, either version 3", {"agpl-3.0"}),
+        ("GNU General Public License version 3", {"gpl", "gpl-3.0"}), ("GNU General Public License", {"gpl"}),
+        ("Mozilla Public License, v. 2.0", {"mpl-2.0"}), ("Mozilla Public License Version 2.0", {"mpl-2.0"}),
+        ("CC BY 4.0", {"cc-by", "cc-by-4.0"}), ("CC BY-SA 4.0", {"cc-by", "cc-by-sa-4.0"}), ("CC BY-NC 4.0", {"cc-by", "cc-by-nc-4.0"}),
+        ("SPDX-License-Identifier: MIT", {"mit"}), ("SPDX-License-Identifier: GPL-3.0-only", {"gpl-3.0"}),
+        ("SPDX-License-Identifier: LGPL-3.0-or-later", {"lgpl-3.0"}), ("SPDX-License-Identifier: Homemade", set()),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", {"cc-by-sa"}),
+    ):
+        assert labels(name) == want, name
+
+
+def test_license_texts():
+    """Whole texts are accepted with any holder and only with every mandatory word; two- and three-clause texts stay apart."""
+    from custgraph.llm.words import ALNUM, hash_words
+
+    def labels(text):
+        found = hash_words(text.lower().encode(), ALNUM)[1]
+        return {one.label for _, _, one in licenses.matches(found, 0, len(found))}
+
+    def filled(template, holder, optional):
+        text = re.sub(r"\[\[(.*?)\]\]", r"\1" if optional else "", template, flags=re.S)
+        return re.sub(r"<<\d+>>", holder, text).upper()
+
+    notices = {"mit-full": {"mit"}, "isc": set(), "bsd-2-clause": {"bsd"}, "bsd-3-clause": {"bsd"}}
+    for template, label in licenses.TEXTS:
+        for optional in (True, False):
+            text = filled(template, "Some Holder", optional)
+            assert labels(f"Copyright 2020, {text}. More follows.") == {label} | notices[label]
+            for word in (" WITHOUT ", " LIABLE ", " ARISING "):
+                assert word in text.replace("\n", " ")
+                assert label not in labels(text.replace("\n", " ").replace(word, " OTHER ", 1))
+        assert label not in labels(filled(template, "a holder whose name has far too many words in it for this", True))
+
+
+def test_license_labels_and_score(spark):
+    rows = [(1, "a b MIT License c"), (2, "SPDX-License-Identifier: ISC"), (3, "nothing"), (4, None), (5, "CC BY-SA 4.0 and GNU General Public License version 2")]
+    got = {r["doc_id"]: (r["base_labels"], r["labels"], round(r["score"], 6)) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {
+        1: ("mit", "mit", 0.4), 2: ("", "isc", 1.0), 3: ("", "", 0.0), 4: ("", "", 0.0),
+        5: ("cc-by,gpl", "cc-by,cc-by-sa-4.0,gpl,gpl-2.0", round(11 / 12, 6)),
+    }
 
 
 def test_language_model(docs, empty):
