@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import salted_join
+from ..functions.skew import deal, salted_join
 from ..model import DEDUP_KEY, PROVENANCE, UNIQUE_KEYS
 from ..session import keep
 
@@ -92,22 +92,25 @@ def upsert_edges(existing: DataFrame, incoming: DataFrame, nodes: DataFrame) ->
     )
 
 
-def unique_key_violations(df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
-    """Key values on more than one row."""
+def unique_key_violations(df: DataFrame, label: str, keys: Sequence[str], rows: int = 0) -> DataFrame:
+    """Key values on more than one row; ``rows`` of the table, when known, keep the tasks of one size."""
     value = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+        deal(df.select(*keys), rows, *keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
         .filter(F.col("copies") > 1)
         .select(F.lit(label).alias("label"), value.alias("key_value"), "copies")
     )
 
 
-def all_key_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(label, key_value, copies) against the key rule of every label; ``tables`` holds nodes by label."""
+def all_key_violations(tables: Mapping[str, DataFrame], rows: Mapping[str, int] | None = None) -> DataFrame:
+    """(label, key_value, copies) against the key rule of every label; ``tables`` holds nodes by label, ``rows`` about how many."""
     missing = set(UNIQUE_KEYS) - set(tables)
     if missing:
         raise ValueError(f"no table for {sorted(missing)}")
-    return reduce(DataFrame.unionByName, [unique_key_violations(tables[label], label, [key]) for label, key in UNIQUE_KEYS.items()])
+    known = rows or {}
+    return reduce(DataFrame.unionByName, [
+        unique_key_violations(tables[label], label, [key], known.get(label, 0)) for label, key in UNIQUE_KEYS.items()
+    ])
 
 
 def flat_edges(proposals: DataFrame, run_id: str, at: Column) -> DataFrame:

@@ -62,3 +62,14 @@ def test_fastrp_sums_run_in_generated_code(spark):
         assert means.count() == 3 * 4
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("name, times", [("node_degree", 1), ("portfolio_context", 2)])
+def test_line_items_are_read_no_oftener_than_needed(spark, name, times):
+    assert plan_of(spark, name).count("lineitem.parquet") == times
+
+
+def test_key_rules_and_positions_are_dealt_by_size(spark, monkeypatch):
+    monkeypatch.setattr("custgraph.functions.skew.DEAL_ROWS", 500)
+    for name in ("all_key_violations", "unique_key_violations", "node_degree", "portfolio_context"):
+        assert "REPARTITION_BY_NUM" in plan_of(spark, name)

@@ -2,6 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from custgraph.functions import skew
 from custgraph.functions.skew import global_rank, hot_keys, rank_in_class, salted_join, top_per_key
 
 
@@ -43,3 +44,11 @@ def test_top_per_key_limits_before_the_shuffle(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert top.count() == 6
+
+
+def test_rows_are_dealt_by_the_size_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(skew, "DEAL_ROWS", 100)
+    df = spark.range(1000).select((F.col("id") % 700).alias("k")).coalesce(1)
+    dealt = skew.deal(df, 1000, "k")
+    assert dealt.rdd.getNumPartitions() == 10 and skew.deal(df, 100, "k") is df
+    assert sorted(dealt.collect()) == sorted(df.collect())
